@@ -1,0 +1,38 @@
+"""Queries of the training-data operators, with SQL where SQL can say it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kedge.llm.canonical import canonical_text, irregular
+
+
+def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{table}.parquet")
+
+
+def _p5_texts(spark: SparkSession, d: str) -> DataFrame:
+    """(field, record_key, text) of every text of problem 5."""
+    published = _read(spark, d, "published_questions").select(
+        F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col("reference_id").alias("record_key"), F.col(f).alias("text")) for f in ("question_text", "normalized_question_text")])).alias("x")
+    )
+    answers = _read(spark, d, "questions").select(F.explode("answers").alias("a")).select(F.struct(F.lit("answer_text").alias("field"), F.col("a.id").alias("record_key"), F.col("a.text").alias("text")).alias("x"))
+    return published.unionByName(answers).select("x.*")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return irregular(_p5_texts(spark, d), text="text").where("record_key is not null").select("field", "record_key").distinct()
+
+
+def p5_canonical(spark: SparkSession, d: str) -> DataFrame:
+    texts = _p5_texts(spark, d).distinct().withColumn("canonical", canonical_text(F.col("text")))
+    return texts.select("field", "record_key", "canonical", (~F.col("canonical").eqNullSafe(F.col("text"))).alias("changed"))
+
+
+def queries() -> dict:
+    return {"p5_found": p5_found, "p5_canonical": p5_canonical}
+
+
+def sql() -> dict[str, str]:
+    return {}
