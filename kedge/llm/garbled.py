@@ -27,15 +27,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Cost (nats) from which a pair counts as improbable.
-RARE = 7.6
+RARE = 9.0
 #: Score from which a segment of improbable pairs is looked at.
-SEGMENT = 4.0
+SEGMENT = 4.5
+#: The same for long segments of pairs that are only less probable than most, as a
+#: wrong decoding that is frequent in the corpus makes them.
+MILD, MILD_SEGMENT = 7.2, 12.0
+#: Score from which a further segment extends a run.
+EXTEND = 1.5
 #: Characters between two segments up to which they are one run.
 JOIN = 30
-#: What a mapping must save in a run (nats).
-GAIN = 9.0
-#: Cost of a pair that restored text may have on average.
-ORDINARY = 7.6
+#: What a mapping must save over all pairs it changes (nats), and per changed pair.
+GAIN, GAIN_EACH = 8.0, 1.5
+#: What pairs changed by a single-byte mapping may cost on average beyond the corpus's mean.
+ORDINARY = 1.7
+#: What it must save in a part of a run that it makes dearer as a whole.
+GAIN_PART = 25.0
+#: The same allowance for such a part.
+ORDINARY_PART = 0.8
+#: Share of the characters past ASCII that the wrong encoding must be able to have made.
+COVER = 0.6
 #: Cost of a pair never met, and the most any pair costs.
 WORST = 13.0
 #: Times one wrong decoding may have been repeated.
@@ -103,6 +114,7 @@ class PairModel:
         k = self.k = len(present) + 1
         self.index[np.setdiff1d(np.arange(BASE), present)] = k - 1
         self.cost = np.full(k * k, WORST, dtype=np.float32)
+        self.mean = WORST
         if len(pairs):
             n = counts.sum()
             p = counts / n
@@ -110,6 +122,7 @@ class PairModel:
             right = np.bincount(self.index[b], weights=p, minlength=k)
             info = p * np.log1p(p / (left[self.index[a]] * right[self.index[b]]))
             self.cost[self.index[a] * k + self.index[b]] = np.minimum(-np.log(info), WORST)
+            self.mean = float((p * np.minimum(-np.log(info), WORST)).sum())
 
     def codes(self, text: str) -> np.ndarray:
         return self.index[_codes(text)]
@@ -162,10 +175,12 @@ def mappings() -> list[tuple[str, str, dict[int, int], bool]]:
             # Latin-1 and its superset together: the controls stand for their own byte
             to_byte |= {b: b for b in range(0x80, 0xA0)} | {ord(c): b for b, c in enumerate(chars) if b >= 0x80}
         for right in _RIGHT:
-            if right == wrong or (wrong, right) == ("mac-roman", "cp1252"):
+            if right == wrong or (wrong == "mac-roman" and right != "utf-8"):
+                # Western Mac text differs from others in marks only, too little to tell
                 continue
             if right == "utf-8":
-                out.append((wrong, right, to_byte, True))
+                # characters that stand for no byte must not look like one
+                out.append((wrong, right, {c: 0 for c in range(0x80, 0x100)} | to_byte, True))
             else:
                 target = _byte_chars(right)
                 out.append((wrong, right, {c: ord(target[b]) for c, b in to_byte.items()}, False))
@@ -175,18 +190,43 @@ def mappings() -> list[tuple[str, str, dict[int, int], bool]]:
 _SEQUENCE = re.compile("[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 
 
-def _from_utf8(run: str, to_byte: dict[int, int]) -> str:
-    """``run`` with every complete UTF-8 sequence of its bytes replaced; the rest stays."""
-    as_bytes = "".join([chr(to_byte[ord(c)]) if ord(c) in to_byte else ("\x00" if "\x7f" < c < "Ā" else c) for c in run])
-    parts, at = [], 0
+def _from_utf8(run: str, to_byte: dict[int, int]) -> tuple[str, np.ndarray, np.ndarray] | None:
+    """``run`` with every complete UTF-8 sequence of its bytes replaced, the rest as it is.
+
+    With it, which characters of the old and the new run are concerned. None if no
+    sequence is complete.
+    """
+    as_bytes = run.translate(to_byte)
+    parts, at, n = [], 0, 0
+    old, new = np.zeros(len(run), dtype=bool), []
     for m in _SEQUENCE.finditer(as_bytes):
         try:
             c = m.group().encode("latin-1").decode("utf-8")
         except UnicodeDecodeError:
             continue
-        parts += (run[at : m.start()], c)
-        at = m.end()
-    return "".join(parts) + run[at:] if parts else run
+        lo, hi = m.span()
+        parts += (run[at:lo], c)
+        old[lo:hi] = True
+        new.append(n + lo - at)
+        n += lo - at + 1
+        at = hi
+    if not parts:
+        return None
+    text = "".join(parts) + run[at:]
+    touched = np.zeros(len(text), dtype=bool)
+    touched[new] = True
+    return text, old, touched
+
+
+@cache
+def _covered() -> list[np.ndarray]:
+    """Characters (below 0x2600) that the wrong encoding of each mapping can have made, past ASCII."""
+    out = []
+    for _, _, table, _ in mappings():
+        c = np.zeros(0x2600, dtype=bool)
+        c[[x for x, y in table.items() if x < 0x2600 and y]] = True
+        out.append(c)
+    return out
 
 
 @cache
@@ -218,45 +258,86 @@ def best_mapping(run: str, model: PairModel, gain: float = GAIN) -> tuple[str, l
 
 def _one_mapping(run: str, model: PairModel, gain: float) -> tuple[str, tuple[str, str]] | None:
     cps = np.frombuffer(run.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    if len(cps) < 2:
+    if len(cps) < 2 or run.isascii():
         return None
-    pairs, counts = np.unique(cps[:-1] * 0x110000 + cps[1:], return_counts=True)
+    to, cost, index, k = symbols(), model.cost, model.index, model.k
+    each = cost[index[to[cps[:-1]]] * k + index[to[cps[1:]]]]
+    pairs, where, counts = np.unique(cps[:-1] * 0x110000 + cps[1:], return_inverse=True, return_counts=True)
     a, b = pairs // 0x110000, pairs % 0x110000
-    to = symbols()
-    now = float((model.cost[model.index[to[a]] * model.k + model.index[to[b]]] * counts).sum())
-    best, n = None, len(cps) - 1
-    for (wrong, right, table, utf8), t in zip(mappings(), _symbol_tables(), strict=True):
+    now = cost[index[to[a]] * k + index[to[b]]]
+    high = np.minimum(cps[cps > 0x7F], 0x25FF)
+    low_a, low_b = np.minimum(a, 0x25FF), np.minimum(b, 0x25FF)
+    best = None
+    for (wrong, right, table, utf8), t, covered in zip(mappings(), _symbol_tables(), _covered(), strict=True):
+        if covered[high].mean() < COVER:
+            continue
         if utf8:
-            new = _from_utf8(run, table)
-            if new == run:
+            tried = _from_utf8(run, table)
+            if tried is None:
                 continue
-            c = model.costs(new)
-            total, mean = float(c.sum()), float(c.mean()) if len(c) else WORST
-            # a sequence that decodes is evidence in itself; lengths differ, so totals may be compared
+            again = _from_utf8(tried[0], table)
+            if again is not None:
+                # decoded wrongly twice: what is left half way is no cheaper
+                once, then = model.costs(tried[0]), model.costs(again[0])
+                saved = float(each.sum() - then.sum())
+                if len(then) and saved >= gain and min(each.mean(), once.mean()) - then.mean() >= 0.5 and (best is None or saved > best[0]):
+                    best = (saved, wrong, right, table, again[0])
+                    continue
+            new, old_at, new_at = tried
+            was = each[old_at[:-1] | old_at[1:]]
+            then = model.costs(new)[new_at[:-1] | new_at[1:]]
+            if not len(then):
+                continue
+            saved, before, after = float(was.sum() - then.sum()), float(was.mean()), float(then.mean())
         else:
-            x, y = np.where(a < 0x2600, t[np.minimum(a, 0x25FF)], a), np.where(b < 0x2600, t[np.minimum(b, 0x25FF)], b)
-            if (x == a).all() and (y == b).all():
+            x, y = np.where(a < 0x2600, t[low_a], a), np.where(b < 0x2600, t[low_b], b)
+            changed = (x != a) | (y != b)
+            n = int(counts[changed].sum())
+            if not n:
                 continue
-            total = float((model.cost[model.index[to[x]] * model.k + model.index[to[y]]] * counts).sum())
-            mean, new = total / n, None
-        if now - total >= gain and (best is None or total < best[0]) and (mean <= ORDINARY or (utf8 and now - total > len(run) * 2)):
-            best = (total, wrong, right, table, new)
+            costs = cost[index[to[x]] * k + index[to[y]]]
+            then, was = float((costs * counts)[changed].sum()), float((now * counts)[changed].sum())
+            new, saved, before, after, most = None, was - then, was / n, then / n, model.mean + ORDINARY
+            delta = now - costs
+            if (before - after < GAIN_EACH or after > most) and float((np.maximum(delta, 0) * counts).sum()) >= GAIN_PART:
+                # sound text around the garbled part hides what the mapping saves
+                part = segments(delta[where], GAIN_PART)
+                if part:
+                    inside = np.concatenate([where[lo:hi] for lo, hi in part])
+                    inside = inside[changed[inside]]
+                    saved, before, after = float(delta[inside].sum()), float(now[inside].mean()), float(costs[inside].mean())
+                    most = model.mean + ORDINARY_PART
+        # a complete UTF-8 sequence is evidence in itself: there it suffices that no dearer pairs come of it
+        sound = after <= before if utf8 else before - after >= GAIN_EACH and after <= most
+        if saved >= gain and sound and (best is None or saved > best[0]):
+            best = (saved, wrong, right, table, new)
     if best is None:
         return None
     _, wrong, right, table, new = best
-    return (new if new is not None else run.translate(table)), (wrong, right)
+    if new is None:
+        # the run may reach into sound text
+        new = _where_cheaper(run, run.translate(table), model)
+    return new, (wrong, right)
 
 
-def runs(text: str, score: np.ndarray) -> list[tuple[int, int]]:
+def runs(text: str, costs: np.ndarray) -> list[tuple[int, int]]:
     """Character spans of the improbable runs, joined when near, grown to the blanks around."""
+    score = costs - RARE
+    found = [(lo, hi, float(score[lo:hi].sum()) >= SEGMENT) for lo, hi in segments(score, EXTEND)]
+    found += [(lo, hi, True) for lo, hi in segments(costs - MILD, MILD_SEGMENT)]
+    if not any(strong for _, _, strong in found):
+        return []
     spans: list[list[int]] = []
-    for lo, hi in segments(score, SEGMENT):
+    for lo, hi, strong in sorted(found):
         if spans and lo - spans[-1][1] <= JOIN:
-            spans[-1][1] = hi + 1
+            spans[-1][1] = max(spans[-1][1], hi + 1)
+            spans[-1][2] |= strong
         else:
-            spans.append([lo, hi + 1])
+            spans.append([lo, hi + 1, strong])
     out: list[tuple[int, int]] = []
-    for lo, hi in spans:
+    for lo, hi, strong in spans:
+        if not strong:
+            continue
         while lo > 0 and not text[lo - 1].isspace():
             lo -= 1
         while hi < len(text) and not text[hi].isspace():
@@ -268,15 +349,107 @@ def runs(text: str, score: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def restore(text: str, model: PairModel, score: np.ndarray | None = None) -> tuple[str, list[tuple[str, str]]]:
+def suspects(texts: list[str | None], model: PairModel) -> np.ndarray:
+    """Which texts have a segment to look at: one pass over all of them at once."""
+    out = np.zeros(len(texts), dtype=bool)
+    at = [i for i, t in enumerate(texts) if t and len(t) > 1]
+    if not at:
+        return out
+    costs = model.costs("\x00".join(texts[i] for i in at))
+    sizes = np.array([len(texts[i]) + 1 for i in at])
+    ends = np.cumsum(sizes) - 1
+    starts = ends - sizes + 1
+    for rare, least in ((RARE, SEGMENT), (MILD, MILD_SEGMENT)):
+        score = costs.astype(np.float64) - rare
+        # a text's end costs more than any segment gains, so none crosses it
+        breaks = np.concatenate([ends[:-1] - 1, ends[:-1]])
+        score[breaks] = -20.0 * (sizes.max() + 1)
+        total = np.cumsum(score)
+        gain = total - np.minimum.accumulate(np.append(0.0, total[:-1]))
+        out[np.array(at)] |= np.maximum.reduceat(gain, np.minimum(starts, len(gain) - 1)) >= least
+    return out
+
+
+def restore(text: str, model: PairModel) -> tuple[str, list[tuple[str, str]]]:
     """(restored text, mappings that restored runs of it)."""
-    if score is None:
-        score = model.costs(text) - RARE if len(text) > 1 else np.zeros(0)
+    if len(text) < 2:
+        return text, []
     parts, at, done = [], 0, []
-    for lo, hi in runs(text, score):
+    for lo, hi in runs(text, model.costs(text)):
         new, how = best_mapping(text[lo:hi], model)
         if how:
             parts += (text[at:lo], new)
             at = hi
             done += how
-    return "".join(parts) + text[at:], done
+    text = "".join(parts) + text[at:]
+    for wrong, right in dict.fromkeys(done):
+        # what a single-byte mapping changes is sparse in some texts: the rest of them
+        table = next((t for w, r, t, utf8 in mappings() if (w, r) == (wrong, right) and not utf8), None)
+        if table:
+            text = _where_cheaper(text, text.translate(table), model)
+    return text, done
+
+
+def _where_cheaper(text: str, new: str, model: PairModel) -> str:
+    """``text`` with those stretches of ``new``, character for character, that cost less."""
+    parts, at = [], 0
+    for lo, hi in segments(model.costs(text) - model.costs(new), EXTEND):
+        parts += (text[at:lo], new[lo : hi + 1])
+        at = hi + 1
+    return "".join(parts) + text[at:]
+
+
+#: Marks that a decoder leaves where characters were lost.
+_LOST = re.compile("[\x80-\x84\x86-\x9f\ufffd]")
+
+
+def corpus_pairs(df: DataFrame, *, text: str) -> DataFrame:
+    """``pair, n``: adjacent symbol pairs of all texts, counted per batch before the shuffle.
+
+    At most ``BASE`` squared rows (9.8 million) whatever the corpus, some thousands in
+    practice. Null and empty texts have none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs, n = pair_counts(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(pairs.astype(np.int32)), pa.array(n.astype(np.int64))], names=["pair", "n"])
+
+    return df.select(F.col(text).cast("string").alias("t")).where("t is not null and t <> ''").mapInArrow(run, "pair int, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def find_garbled(df: DataFrame, *, id: str, text: str) -> DataFrame:
+    """Garbled rows: ``id``, ``restored`` text, ``mappings`` applied (wrong>right, in order).
+
+    Statistics come from all rows of ``df``. A row that only shows that characters were
+    lost has null ``restored`` and no mappings. Null, empty and blank texts, foreign
+    letters, symbols and drawn tables as such are no case; repeated rows are found as
+    often as they occur. An empty table gives an empty result.
+    """
+    table = corpus_pairs(df, text=text).toPandas()
+    shared = df.sparkSession.sparkContext.broadcast((table["pair"].to_numpy(np.int64), table["n"].to_numpy(np.int64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = PairModel(*shared.value)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                texts = part.column(1).to_pylist()
+                at, restored, how = [], [], []
+                for i, suspect in enumerate(suspects(texts, model)):
+                    done = []
+                    if suspect:
+                        new, done = restore(texts[i], model)
+                    if done:
+                        how.append([f"{w}>{r}" for w, r in done])
+                        restored.append(new)
+                    elif texts[i] and _LOST.search(texts[i]):
+                        how.append([])
+                        restored.append(None)
+                    else:
+                        continue
+                    at.append(i)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int64())), pa.array(restored, pa.string()), pa.array(how, pa.list_(pa.string()))], names=["id", "restored", "mappings"])
+
+    schema = T.StructType([T.StructField("id", df.schema[id].dataType), T.StructField("restored", T.StringType()), T.StructField("mappings", T.ArrayType(T.StringType()))])
+    return df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, schema).withColumnRenamed("id", id)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kedge.llm.canonical import canonical_text, irregular
+from kedge.llm.garbled import find_garbled
+from kedge.llm.tokens import count_tokens, encode
 
 
 def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
@@ -30,8 +32,30 @@ def p5_canonical(spark: SparkSession, d: str) -> DataFrame:
     return texts.select("field", "record_key", "canonical", (~F.col("canonical").eqNullSafe(F.col("text"))).alias("changed"))
 
 
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode(_read(spark, d, "documents"), id="doc_id", text="text")
+
+
+def p6_counts(spark: SparkSession, d: str) -> DataFrame:
+    docs = count_tokens(_read(spark, d, "documents"), text="text", keep=["source", "lang"])
+    return docs.groupBy("source", "lang").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return find_garbled(_read(spark, d, "documents"), id="doc_id", text="text").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, d: str) -> DataFrame:
+    found = find_garbled(_read(spark, d, "documents"), id="doc_id", text="text")
+    return found.select("doc_id", "restored", F.array_join("mappings", ",").alias("mappings"))
+
+
 def queries() -> dict:
-    return {"p5_found": p5_found, "p5_canonical": p5_canonical}
+    return {
+        "p5_found": p5_found, "p5_canonical": p5_canonical,
+        "p6_ids": p6_ids, "p6_counts": p6_counts,
+        "p8_found": p8_found, "p8_restored": p8_restored,
+    }
 
 
 def sql() -> dict[str, str]:
