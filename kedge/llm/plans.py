@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from kedge.llm.canonical import canonical_text, irregular
 from kedge.llm.garbled import find_garbled
+from kedge.llm.matching import confidence, content_id, contents, match
+from kedge.llm.mixing import mix
+from kedge.llm.neardup import near_duplicate_groups, near_duplicate_pairs
 from kedge.llm.tokens import count_tokens, encode
 
 
@@ -14,6 +17,42 @@ def _read(spark: SparkSession, d: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{table}.parquet")
 
 
+#: Problem 1 as stated for this project: single words, 0.6 in common.
+P1_THRESHOLD, P1_WORDS = 0.6, 1
+
+
+def _p1_records(spark: SparkSession, d: str) -> DataFrame:
+    answers = F.array_join("published_answers", "\n")
+    return _read(spark, d, "published_questions").select("reference_id", F.concat_ws("\n", "normalized_question_text", answers).alias("text"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = near_duplicate_pairs(_p1_records(spark, d), id="reference_id", text="text", threshold=P1_THRESHOLD, n=P1_WORDS)
+    return pairs.select(F.col("id_a").alias("reference_id_a"), F.col("id_b").alias("reference_id_b"))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicate_groups(_p1_records(spark, d), id="reference_id", text="text", threshold=P1_THRESHOLD, n=P1_WORDS)
+
+
+def _p4_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """(reference_id, stable_key, confidence) of every published row and live question that ask the same."""
+    published = _read(spark, d, "published_questions").where("reference_id is not null").select("reference_id", "question_text", "published_answers")
+    live = _read(spark, d, "questions").where("stable_key is not null").select("stable_key", "text", F.transform("answers", lambda a: a["text"]).alias("answers"))
+    found = confidence(match(contents(published, main="question_text", phrases="published_answers", name="left"), contents(live, main="text", phrases="answers", name="right")))
+    left = published.select(content_id("question_text", "published_answers").alias("l"), "reference_id").distinct()
+    right = live.select(content_id("text", "answers").alias("r"), "stable_key").distinct()
+    return found.join(left, "l").join(right, "r").groupBy("reference_id", "stable_key").agg(F.max("confidence").alias("confidence"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p4_pairs(spark, d).select("reference_id", "stable_key")
+
+
+def p4_matches(spark: SparkSession, d: str) -> DataFrame:
+    return _p4_pairs(spark, d)
+
+
 def _p5_texts(spark: SparkSession, d: str) -> DataFrame:
     """(field, record_key, text) of every text of problem 5."""
     published = _read(spark, d, "published_questions").select(
@@ -41,6 +80,22 @@ def p6_counts(spark: SparkSession, d: str) -> DataFrame:
     return docs.groupBy("source", "lang").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"))
 
 
+def _p7_mix(spark: SparkSession, d: str, total: int | str) -> tuple[DataFrame, DataFrame]:
+    sized = count_tokens(_read(spark, d, "documents"), text="text", keep=["doc_id", "source"]).withColumn("sources", F.array("source"))
+    return mix(sized, _read(spark, d, "mix_targets"), id="doc_id", sources="sources", tokens="tokens", total=total)
+
+
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    """Uses per document of the largest mixture in which every source has its share."""
+    return _p7_mix(spark, d, "shares")[0]
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual shares, of that mixture and of one as large as all documents once."""
+    parts = [_p7_mix(spark, d, total)[1].withColumn("total", F.lit(total)) for total in ("shares", "once")]
+    return parts[0].unionByName(parts[1])
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return find_garbled(_read(spark, d, "documents"), id="doc_id", text="text").select("doc_id")
 
@@ -52,8 +107,11 @@ def p8_restored(spark: SparkSession, d: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "p1_found": p1_found, "p1_groups": p1_groups,
+        "p4_found": p4_found, "p4_matches": p4_matches,
         "p5_found": p5_found, "p5_canonical": p5_canonical,
         "p6_ids": p6_ids, "p6_counts": p6_counts,
+        "p7_mix": p7_mix, "p7_shares": p7_shares,
         "p8_found": p8_found, "p8_restored": p8_restored,
     }
 
