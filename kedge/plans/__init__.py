@@ -3,6 +3,6 @@
 
 def modules() -> list:
     """Modules with ``queries()`` and ``sql()``."""
-    from kedge.plans import changes
+    from kedge.plans import changes, reference
 
-    return [changes]
+    return [changes, reference]

@@ -14,8 +14,14 @@ from kedge.sources.store import PipelineError
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, *, format: str = "parquet", files_per_batch: int = 1) -> DataFrame:
-    """Files of a folder as a stream, so many per batch; the pacing of an ordered source."""
-    return spark.readStream.schema(schema).format(format).option("maxFilesPerTrigger", files_per_batch).load(path)
+    """Files of a folder, or a single file, as a stream, so many per batch; the pacing of an ordered source."""
+    read = spark.readStream.schema(schema).format(format).option("maxFilesPerTrigger", files_per_batch)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return read.load(path)
+    # a single file is the one match in its folder
+    return read.option("pathGlobFilter", at.getName()).load(at.getParent().toString())
 
 
 def run_to_end(df: DataFrame, sink: Callable[[DataFrame, int], None], *, checkpoint: str) -> StreamingQuery:
