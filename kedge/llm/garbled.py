@@ -45,6 +45,8 @@ ORDINARY = 1.7
 GAIN_PART = 25.0
 #: The same allowance for such a part.
 ORDINARY_PART = 0.8
+#: Mappings, those that save most somewhere first, that are tried on parts of a run.
+PARTS = 4
 #: Share of the characters past ASCII that the wrong encoding must be able to have made.
 COVER = 0.6
 #: Cost of a pair never met, and the most any pair costs.
@@ -88,19 +90,21 @@ def _codes(text: str) -> np.ndarray:
 
 def pair_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(pair, count) of adjacent symbols; a pair is first * BASE + second. None across texts."""
-    s = _codes("\x00".join(t for t in texts if t)).astype(np.int64)
+    s = _codes("\x00".join(t for t in texts if t))
+    if len(s) < 2:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    present = np.flatnonzero(np.bincount(s, minlength=BASE))
+    k = len(present)
+    place = np.zeros(BASE, dtype=np.int64)
+    place[present] = np.arange(k)
+    at = place[s]
+    dense = np.bincount(at[:-1] * k + at[1:], minlength=k * k).reshape(k, k)
     end = symbols()[0]
-    pairs = s[:-1] * BASE + s[1:]
-    pairs = pairs[(s[:-1] != end) & (s[1:] != end)]
-    present, at = np.unique(s, return_inverse=True)
-    if len(present) <= 3000 and len(pairs):
-        # dense counting over the symbols present
-        k = len(present)
-        keep = (s[:-1] != end) & (s[1:] != end)
-        dense = np.bincount((at[:-1] * k + at[1:])[keep], minlength=k * k)
-        hit = np.flatnonzero(dense)
-        return present[hit // k] * BASE + present[hit % k], dense[hit]
-    return np.unique(pairs, return_counts=True)
+    if end in present:
+        dense[place[end], :] = 0
+        dense[:, place[end]] = 0
+    a, b = np.nonzero(dense)
+    return present[a] * BASE + present[b], dense[a, b]
 
 
 class PairModel:
@@ -124,6 +128,20 @@ class PairModel:
             self.cost[self.index[a] * k + self.index[b]] = np.minimum(-np.log(info), WORST)
             self.mean = float((p * np.minimum(-np.log(info), WORST)).sum())
 
+        self.single = [(w, r, t) for w, r, t, utf8 in mappings() if not utf8]
+        self.moved = self._moved(present)
+
+    def _moved(self, present: np.ndarray) -> np.ndarray:
+        """For every single-byte mapping, the index that each index's symbol becomes."""
+        out = np.tile(np.arange(self.k, dtype=np.int64), (len(self.single), 1))
+        to = symbols()
+        for i, (_, _, table) in enumerate(self.single):
+            for c, d in table.items():
+                at = self.index[to[c]]
+                if at != self.k - 1 and c < 0x2600:
+                    out[i, at] = self.index[to[d]]
+        return out
+
     def codes(self, text: str) -> np.ndarray:
         return self.index[_codes(text)]
 
@@ -134,23 +152,32 @@ class PairModel:
 
 
 def segments(score: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """All maximum-scoring segments [from, to) of at least ``least``, best first split, in order."""
-    out, todo = [], [(0, len(score))]
-    while todo:
-        lo, hi = todo.pop()
-        if hi <= lo:
-            continue
-        total = np.cumsum(score[lo:hi], dtype=np.float64)
-        floor = np.minimum.accumulate(np.append(0.0, total[:-1]))
-        gain = total - floor
-        end = int(np.argmax(gain))
-        if gain[end] < least:
-            continue
-        before = np.append(0.0, total[:end])
-        start = len(before) - 1 - int(np.argmin(before[::-1]))
-        out.append((lo + start, lo + end + 1))
-        todo += [(lo, lo + start), (lo + end + 1, hi)]
-    return sorted(out)
+    """All maximal scoring segments [from, to) of at least ``least``, in order.
+
+    Linear: runs of positive scores are summed first, then joined where joining scores
+    more than either part.
+    """
+    n = len(score)
+    if not n:
+        return []
+    up = score > 0
+    edges = np.flatnonzero(up[1:] != up[:-1]) + 1
+    starts = np.append(0, edges)
+    after = np.cumsum(np.add.reduceat(score, starts, dtype=np.float64)).tolist()
+    bounds = [*starts.tolist(), n]
+    stack: list[tuple[int, int, float, float]] = []
+    for i in range(0 if up[0] else 1, len(starts), 2):
+        lo, hi, left, right = bounds[i], bounds[i + 1], after[i - 1] if i else 0.0, after[i]
+        while True:
+            j = len(stack) - 1
+            while j >= 0 and stack[j][2] >= left:
+                j -= 1
+            if j < 0 or stack[j][3] >= right:
+                stack.append((lo, hi, left, right))
+                break
+            lo, left = stack[j][0], stack[j][2]
+            del stack[j:]
+    return [(lo, hi) for lo, hi, left, right in stack if right - left >= least]
 
 
 def _byte_chars(encoding: str) -> list[str | None]:
@@ -197,6 +224,8 @@ def _from_utf8(run: str, to_byte: dict[int, int]) -> tuple[str, np.ndarray, np.n
     sequence is complete.
     """
     as_bytes = run.translate(to_byte)
+    if not _SEQUENCE.search(as_bytes):
+        return None
     parts, at, n = [], 0, 0
     old, new = np.zeros(len(run), dtype=bool), []
     for m in _SEQUENCE.finditer(as_bytes):
@@ -219,28 +248,12 @@ def _from_utf8(run: str, to_byte: dict[int, int]) -> tuple[str, np.ndarray, np.n
 
 
 @cache
-def _covered() -> list[np.ndarray]:
-    """Characters (below 0x2600) that the wrong encoding of each mapping can have made, past ASCII."""
-    out = []
-    for _, _, table, _ in mappings():
-        c = np.zeros(0x2600, dtype=bool)
-        c[[x for x, y in table.items() if x < 0x2600 and y]] = True
-        out.append(c)
-    return out
-
-
-@cache
-def _symbol_tables() -> list[np.ndarray | None]:
-    """For single-byte mappings: code point to code point, below 0x2600."""
-    out = []
-    for _, _, table, utf8 in mappings():
-        t = None
-        if not utf8:
-            t = np.arange(0x2600, dtype=np.int32)
-            for c, d in table.items():
-                if c < 0x2600:
-                    t[c] = d
-        out.append(t)
+def _covered() -> np.ndarray:
+    """Which characters (below 0x2600) past ASCII each wrong encoding can have made."""
+    out = np.zeros((len(_ENCODINGS), 0x2600), dtype=bool)
+    for wrong, _, table, utf8 in mappings():
+        if utf8:
+            out[_ENCODINGS.index(wrong), [x for x, y in table.items() if x < 0x2600 and y]] = True
     return out
 
 
@@ -257,63 +270,74 @@ def best_mapping(run: str, model: PairModel, gain: float = GAIN) -> tuple[str, l
 
 
 def _one_mapping(run: str, model: PairModel, gain: float) -> tuple[str, tuple[str, str]] | None:
-    cps = np.frombuffer(run.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    if len(cps) < 2 or run.isascii():
+    if len(run) < 2 or run.isascii():
         return None
-    to, cost, index, k = symbols(), model.cost, model.index, model.k
-    each = cost[index[to[cps[:-1]]] * k + index[to[cps[1:]]]]
-    pairs, where, counts = np.unique(cps[:-1] * 0x110000 + cps[1:], return_inverse=True, return_counts=True)
-    a, b = pairs // 0x110000, pairs % 0x110000
-    now = cost[index[to[a]] * k + index[to[b]]]
-    high = np.minimum(cps[cps > 0x7F], 0x25FF)
-    low_a, low_b = np.minimum(a, 0x25FF), np.minimum(b, 0x25FF)
-    best = None
-    for (wrong, right, table, utf8), t, covered in zip(mappings(), _symbol_tables(), _covered(), strict=True):
-        if covered[high].mean() < COVER:
+    cps = np.frombuffer(run.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    code = model.index[symbols()[cps]].astype(np.int64)
+    k = model.k
+    both = code[:-1] * k + code[1:]
+    each = model.cost[both]
+    covered = _covered()[:, np.minimum(cps[cps > 0x7F], 0x25FF)].mean(axis=1) >= COVER
+    likely = {w for w, yes in zip(_ENCODINGS, covered.tolist(), strict=True) if yes}
+    best: tuple[float, str, str, str | None, dict | None] | None = None
+
+    for wrong, right, table, utf8 in mappings():
+        tried = _from_utf8(run, table) if utf8 and wrong in likely else None
+        if tried is None:
             continue
-        if utf8:
-            tried = _from_utf8(run, table)
-            if tried is None:
-                continue
-            again = _from_utf8(tried[0], table)
-            if again is not None:
-                # decoded wrongly twice: what is left half way is no cheaper
-                once, then = model.costs(tried[0]), model.costs(again[0])
-                saved = float(each.sum() - then.sum())
-                if len(then) and saved >= gain and min(each.mean(), once.mean()) - then.mean() >= 0.5 and (best is None or saved > best[0]):
-                    best = (saved, wrong, right, table, again[0])
-                    continue
-            new, old_at, new_at = tried
-            was = each[old_at[:-1] | old_at[1:]]
-            then = model.costs(new)[new_at[:-1] | new_at[1:]]
-            if not len(then):
+        new, old_at, new_at = tried
+        once = model.costs(new)
+        again = _from_utf8(new, table)
+        if again is not None:
+            # decoded wrongly twice: what is left half way is no cheaper
+            then = model.costs(again[0])
+            saved = float(each.sum() - then.sum())
+            if len(then) and saved >= gain and min(each.mean(), once.mean()) - then.mean() >= 0.5 and (best is None or saved > best[0]):
+                best = (saved, wrong, right, again[0], None)
                 continue
-            saved, before, after = float(was.sum() - then.sum()), float(was.mean()), float(then.mean())
-        else:
-            x, y = np.where(a < 0x2600, t[low_a], a), np.where(b < 0x2600, t[low_b], b)
-            changed = (x != a) | (y != b)
-            n = int(counts[changed].sum())
-            if not n:
+        was, then = each[old_at[:-1] | old_at[1:]], once[new_at[:-1] | new_at[1:]]
+        if not len(then):
+            continue
+        saved = float(was.sum() - then.sum())
+        # a complete UTF-8 sequence is evidence in itself: it suffices that no dearer pairs come of it
+        if saved >= gain and then.mean() <= was.mean() and (best is None or saved > best[0]):
+            best = (saved, wrong, right, new, None)
+
+    rows = [i for i, (wrong, _, _) in enumerate(model.single) if wrong in likely]
+    if rows:
+        # all single-byte mappings at once, over the distinct pairs of the run
+        pairs, where, counts = np.unique(both, return_inverse=True, return_counts=True)
+        a, b = pairs // k, pairs % k
+        now = model.cost[pairs]
+        x, y = model.moved[rows][:, a], model.moved[rows][:, b]
+        costs = model.cost[x * k + y]
+        changed = (x != a) | (y != b)
+        n = (counts * changed).sum(axis=1)
+        delta = np.where(changed, now - costs, 0.0)
+        saved_all = (delta * counts).sum(axis=1)
+        then_all = (np.where(changed, costs, 0.0) * counts).sum(axis=1)
+        up = (np.maximum(delta, 0.0) * counts).sum(axis=1)
+        parts = 0
+        for i in np.argsort(-up).tolist():
+            if not n[i] or up[i] < gain:
                 continue
-            costs = cost[index[to[x]] * k + index[to[y]]]
-            then, was = float((costs * counts)[changed].sum()), float((now * counts)[changed].sum())
-            new, saved, before, after, most = None, was - then, was / n, then / n, model.mean + ORDINARY
-            delta = now - costs
-            if (before - after < GAIN_EACH or after > most) and float((np.maximum(delta, 0) * counts).sum()) >= GAIN_PART:
+            saved, after, most = float(saved_all[i]), float(then_all[i] / n[i]), model.mean + ORDINARY
+            before = after + saved / n[i]
+            if (before - after < GAIN_EACH or after > most) and up[i] >= GAIN_PART and parts < PARTS:
                 # sound text around the garbled part hides what the mapping saves
-                part = segments(delta[where], GAIN_PART)
-                if part:
-                    inside = np.concatenate([where[lo:hi] for lo, hi in part])
-                    inside = inside[changed[inside]]
-                    saved, before, after = float(delta[inside].sum()), float(now[inside].mean()), float(costs[inside].mean())
+                parts += 1
+                part = segments(delta[i][where], GAIN_PART)
+                inside = np.concatenate([where[lo:hi] for lo, hi in part]) if part else np.zeros(0, dtype=np.int64)
+                inside = inside[changed[i][inside]]
+                if len(inside):
+                    saved, before, after = float(delta[i][inside].sum()), float(now[inside].mean()), float(costs[i][inside].mean())
                     most = model.mean + ORDINARY_PART
-        # a complete UTF-8 sequence is evidence in itself: there it suffices that no dearer pairs come of it
-        sound = after <= before if utf8 else before - after >= GAIN_EACH and after <= most
-        if saved >= gain and sound and (best is None or saved > best[0]):
-            best = (saved, wrong, right, table, new)
+            if saved >= gain and before - after >= GAIN_EACH and after <= most and (best is None or saved > best[0]):
+                wrong, right, table = model.single[rows[i]]
+                best = (saved, wrong, right, None, table)
     if best is None:
         return None
-    _, wrong, right, table, new = best
+    _, wrong, right, new, table = best
     if new is None:
         # the run may reach into sound text
         new = _where_cheaper(run, run.translate(table), model)
