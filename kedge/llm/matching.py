@@ -40,7 +40,7 @@ MAIN_SHARE = 0.45
 #: Likeness of two phrases that say the same.
 SAME_PHRASE = 0.62
 #: How near to the best of its query and of its record a match must score.
-MUTUAL = 0.5
+MUTUAL = 0.35
 #: Most pairs in the sample the confidence is fitted to.
 FIT_PAIRS = 20_000
 #: Words that turn a statement round.
@@ -139,13 +139,27 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return scored.where(F.col("got") >= F.col("need") - 1e-3).select("l", "r")
 
 
-def phrase_likeness(a: str, b: str) -> float:
-    """1 for equal or contained phrases; 0 where the numbers differ; else the share of matching characters."""
+def phrase_likeness(a: str, b: str, least: float = 0.0) -> float:
+    """1 for equal or contained phrases; 0 where the numbers differ or ``least`` can't be reached; else the share of matching characters."""
     if a == b or f" {a} " in f" {b} " or f" {b} " in f" {a} ":
         return 1.0
     if not {*_NUMBER.findall(a)} <= {*_NUMBER.findall(b)}:
         return 0.0
-    return SequenceMatcher(None, a, b, autojunk=False).ratio()
+    m = SequenceMatcher(None, a, b, autojunk=False)
+    if m.real_quick_ratio() < least or m.quick_ratio() < least:
+        return 0.0
+    return m.ratio()
+
+
+def _agreement(asked: list[str], given: list[str]) -> float:
+    """How well the worst of ``asked`` occurs in ``given``; 0 as soon as one doesn't, 1 for none."""
+    worst = 1.0
+    for p in asked:
+        best = 1.0 if p in given else max((phrase_likeness(p, q, SAME_PHRASE) for q in given), default=0.0)
+        if best < SAME_PHRASE:
+            return 0.0
+        worst = min(worst, best)
+    return worst
 
 
 def _negated(a: list[str], b: list[str]) -> bool:
@@ -166,13 +180,13 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             weigh = lambda s: sum(min(len(w), 12) ** 1.5 for w in s)
             common = weigh(x & y)
             forward, backward = common / max(weigh(x), 1e-9), common / max(weigh(y), 1e-9)
-            agree = min((max((phrase_likeness(p, q) for q in rp), default=0.0) for p in lp), default=1.0)
-            same = {*ln} <= {*rn} and not _negated(a, b) and agree >= SAME_PHRASE and forward >= MAIN_SHARE
-            exact = bool(lp) and all(p in rp for p in lp) and ln == rn
-            out.append((l, r, forward, backward, agree, same, exact))
-        cols = list(zip(*out, strict=True)) if out else [()] * 7
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["l", "r", "forward", "backward", "agree", "same", "exact"])
+            # dearer evidence only where cheaper one leaves the question open
+            same = forward >= MAIN_SHARE and {*ln} <= {*rn} and not _negated(a, b) and _agreement(lp, rp) > 0
+            exact = same and bool(lp) and all(p in rp for p in lp) and ln == rn
+            out.append((l, r, forward, backward, same, exact))
+        cols = list(zip(*out, strict=True)) if out else [()] * 6
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["l", "r", "forward", "backward", "same", "exact"])
 
 
 def _fit(sample: pd.DataFrame) -> tuple[float, float, float]:
@@ -206,7 +220,7 @@ def match(left: DataFrame, right: DataFrame) -> DataFrame:
     a = left.select(F.col("id").alias("l"), F.col("main").alias("lm"), F.col("phrases").alias("lp"), F.col("nums").alias("ln"))
     b = right.select(F.col("id").alias("r"), F.col("main").alias("rm"), F.col("phrases").alias("rp"), F.col("nums").alias("rn"))
     full = pairs.join(a, "l").join(b, "r").select("l", "r", "lm", "lp", "ln", "rm", "rp", "rn")
-    judged = scratch.table(full.mapInArrow(_judged, "l bigint, r bigint, forward double, backward double, agree double, same boolean, exact boolean"), "judged")
+    judged = scratch.table(full.mapInArrow(_judged, "l bigint, r bigint, forward double, backward double, same boolean, exact boolean"), "judged")
     of_left, of_right = Window.partitionBy("l"), Window.partitionBy("r")
     judged = judged.withColumn("rival", F.coalesce(F.max(F.when(~F.col("same"), F.col("forward"))).over(of_left), F.lit(0.0)))
     same = judged.where("same")
