@@ -68,7 +68,7 @@ def url_rule(url: Column, *, host: str, port: int | None, prefix: str = "/", que
 def media_signature(kind: Column, body: Column) -> Column:
     """Whether the first bytes of ``body`` are those of the media type; false for other types and empty bodies."""
     head = lambda start, n: F.hex(F.substring(body, start, n))
-    text = F.lower(F.decode(F.substring(body, 1, 4096), F.lit("ISO-8859-1")))
+    text = F.lower(F.decode(F.substring(body, 1, 4096), "ISO-8859-1"))
     # Signatures by type.
     by_type = {
         "image/jpeg": head(1, 3) == "FFD8FF",

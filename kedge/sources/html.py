@@ -164,7 +164,7 @@ def question_page(els: DataFrame, *, id: str) -> DataFrame:
         F.regexp_extract(number, r"(\d+)\s*/\s*(\d+)", 1).try_cast("int").alias("position"), F.regexp_extract(number, r"(\d+)\s*/\s*(\d+)", 2).try_cast("int").alias("total"),
         pick("questions-passed").try_cast("int").alias("passed"), pick("questions-remain").try_cast("int").alias("remain"), pick("current-question-content").alias("text"),
         (F.max(F.when(attr("id") == "step-form", attr("data-multiple-answers"))).isin("1", "true", "True")).alias("multiple"),
-        F.transform(F.split(F.max(F.when(attr("id") == "step-form", attr("data-valid-answers"))), ","), F.trim).alias("correct_answer_ids"),
+        F.transform(F.split(F.max(F.when(attr("id") == "step-form", attr("data-valid-answers"))), ","), lambda x: F.trim(x)).alias("correct_answer_ids"),
     )
     inputs = els.where((F.col("tag") == "input") & attr("name").isin("answer", "answer[]")).select(id, F.col("at"), attr("value").alias("answer_id"), attr("id").alias("dom"))
     labels = els.where((F.col("tag") == "label") & attr("for").isNotNull()).select(F.col(id).alias("_i"), attr("for").alias("_for"), F.trim("text").alias("label"))
