@@ -7,8 +7,8 @@ exact: a query needs ``LEFT_SHARE`` of its own weight, a match ``RIGHT_SHARE`` o
 indexed record's, so in the order of document frequency the rarest term they share lies
 in the prefix of both beyond which the remaining weight can't reach the bound. Only
 prefixes are posted and joined. A query's numbers must all occur in the record, so a
-posting's key also holds one number, and a mask of all of them prunes inside the join.
-What survives the partial-score bound is scored and verified on the full texts.
+posting's key also holds two of them (one, none, if the query has no more), and a mask of
+all of them prunes inside the join. What is left is verified on the full texts.
 
 Nearest neighbours are then taken in both directions (a match must be near the best of
 its query and of its record), and the gap to the best rival gives the confidence through
@@ -17,7 +17,6 @@ a logistic curve fitted to a bounded sample of self-labelled pairs.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -26,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +33,7 @@ from kedge import scratch
 from kedge.llm.neardup import words
 
 #: Least share of a query's weight, and of an indexed record's, that a match has in common.
-LEFT_SHARE, RIGHT_SHARE = 0.33, 0.25
+LEFT_SHARE, RIGHT_SHARE = 0.38, 0.30
 #: Least share of the main attribute's word weight a match has in common with its query.
 MAIN_SHARE = 0.45
 #: Likeness of two phrases that say the same.
@@ -43,6 +42,10 @@ SAME_PHRASE = 0.62
 MUTUAL = 0.35
 #: Most pairs in the sample the confidence is fitted to.
 FIT_PAIRS = 20_000
+#: Numbers up to which a record posts every pair of them; one with more is found by single numbers.
+PAIRED = 12
+#: Most distinct terms that are broadcast; beyond it the weights are joined by shuffle.
+BROADCAST_TERMS = 2_000_000
 #: Words that turn a statement round.
 NEGATIONS = ("не", "нет", "ни", "нельзя", "not", "no", "never")
 
@@ -64,7 +67,7 @@ def _terms(parts: list[list[str]]) -> list[int]:
 
 
 def _prepared(df: DataFrame) -> DataFrame:
-    """``id, main, phrases, terms, nums, mask, number`` of ``id, main, phrases``."""
+    """``id, main, phrases``, their terms and what to post and ask numbers by, of ``id, main, phrases``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,20 +75,24 @@ def _prepared(df: DataFrame) -> DataFrame:
             for id, main, phrases in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 m = words(main or "")
                 p = [w for w in (words(x) for x in phrases or () if x) if w]
-                nums = sorted({_hash(x) for x in _NUMBER.findall(" ".join(m))})
+                found = sorted({*_NUMBER.findall(" ".join(m))}, key=lambda x: (-len(x), x))
+                nums = [_hash(x) for x in found]
                 mask = 0
                 for x in nums:
                     mask |= 1 << (x & 63)
-                longest = max(_NUMBER.findall(" ".join(m)), key=lambda x: (len(x), x), default="")
-                rows.append((id, " ".join(m), [" ".join(x) for x in p], _terms([m, *p]), nums, mask - (1 << 64) if mask >> 63 else mask, _hash(longest) if longest else 0))
+                # a query asks by its two longest numbers; a record can be asked by any two, any one or none
+                pairs = [_hash(f"{x},{y}") for i, x in enumerate(found) for y in found[i + 1 :]] if len(found) <= PAIRED else [_hash(f"m{x}") for x in found]
+                number = _hash(f"{found[0]},{found[1]}") if len(found) > 1 else nums[0] if nums else 0
+                alone = _hash(f"m{found[0]}") if len(found) > 1 else 0
+                rows.append((id, " ".join(m), [" ".join(x) for x in p], _terms([m, *p]), sorted(nums), mask - (1 << 64) if mask >> 63 else mask, number, alone, [0, *nums, *pairs]))
             yield pa.RecordBatch.from_pylist([dict(zip(_NAMES, r, strict=True)) for r in rows], schema=_ARROW)
 
     return df.select("id", "main", "phrases").mapInArrow(run, _SCHEMA)
 
 
-_NAMES = ("id", "main", "phrases", "terms", "nums", "mask", "number")
-_SCHEMA = "id bigint, main string, phrases array<string>, terms array<bigint>, nums array<bigint>, mask bigint, number bigint"
-_ARROW = pa.schema([("id", pa.int64()), ("main", pa.string()), ("phrases", pa.list_(pa.string())), ("terms", pa.list_(pa.int64())), ("nums", pa.list_(pa.int64())), ("mask", pa.int64()), ("number", pa.int64())])
+_NAMES = ("id", "main", "phrases", "terms", "nums", "mask", "number", "alone", "keys")
+_SCHEMA = "id bigint, main string, phrases array<string>, terms array<bigint>, nums array<bigint>, mask bigint, number bigint, alone bigint, keys array<bigint>"
+_ARROW = pa.schema([("id", pa.int64()), ("main", pa.string()), ("phrases", pa.list_(pa.string())), ("terms", pa.list_(pa.int64())), ("nums", pa.list_(pa.int64())), ("mask", pa.int64()), ("number", pa.int64()), ("alone", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
 
 def contents(df: DataFrame, *, main: str, phrases: str, name: str) -> DataFrame:
@@ -94,31 +101,32 @@ def contents(df: DataFrame, *, main: str, phrases: str, name: str) -> DataFrame:
     return scratch.table(_prepared(rows), name)
 
 
-def content_id(main: str, phrases: str):
+def content_id(main: str, phrases: str) -> Column:
     """64-bit identity of a content: its main text and phrases, in order."""
     return F.xxhash64(F.coalesce(F.col(main), F.lit("")), F.coalesce(F.array_join(F.col(phrases), "\u0001"), F.lit("")))
 
 
-def _idf(n: int):
-    return F.log1p((F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+def _idf(df: Column, n: int) -> Column:
+    """BM25 weight of a term of that document frequency."""
+    return F.log1p((F.lit(float(n)) - df + 0.5) / (df + 0.5))
 
 
 def _prefixes(side: DataFrame, stats: DataFrame, n: int, share: float) -> DataFrame:
-    """``id, term, w, rest``: prefix terms of each record, rarest first, and the weight of what follows the prefix.
+    """``id, term``: prefix terms of each record, rarest first.
 
     Terms outside the index weigh most and count to the bound, but are never posted.
     """
-    each = side.select("id", F.explode("terms").alias("term")).join(stats, "term", "left").withColumn("df", F.coalesce("df", F.lit(0).cast("bigint"))).withColumn("w", _idf(n))
-    per = each.groupBy("id").agg(F.array_sort(F.collect_list(F.when(F.col("df") > 0, F.struct("df", "term", "w")))).alias("known"), (F.sum("w") * share).alias("bound"), F.sum(F.when(F.col("df") > 0, F.col("w"))).alias("mass"))
+    each = side.select("id", F.explode("terms").alias("term")).join(stats, "term", "left").withColumn("df", F.coalesce("df", F.lit(0).cast("bigint")))
+    known = F.array_sort(F.collect_list(F.when(F.col("df") > 0, F.struct("df", "term"))))
+    per = each.groupBy("id").agg(known.alias("known"), (F.sum(_idf(F.col("df"), n)) * share).alias("bound"), F.sum(F.when(F.col("df") > 0, _idf(F.col("df"), n))).alias("mass"))
     per = per.where("mass >= bound")
     # weight left before each term; a term is in the prefix while that reaches the bound
-    start = F.struct(F.col("mass").alias("left"), F.array().cast("array<struct<term:bigint,w:double>>").alias("taken"))
+    start = F.struct(F.col("mass").alias("left"), F.array().cast("array<bigint>").alias("taken"))
     folded = F.aggregate(
         "known", start,
-        lambda acc, x: F.when(acc["left"] >= F.col("bound"), F.struct((acc["left"] - x["w"]).alias("left"), F.array_append(acc["taken"], F.struct(x["term"].alias("term"), x["w"].alias("w"))).alias("taken"))).otherwise(acc),
+        lambda acc, x: F.when(acc["left"] >= F.col("bound"), F.struct((acc["left"] - _idf(x["df"], n)).alias("left"), F.array_append(acc["taken"], x["term"]).alias("taken"))).otherwise(acc),
     )
-    done = per.select("id", "bound", folded.alias("f"))
-    return done.select("id", (F.col("bound") - F.col("f.left")).alias("need"), F.explode("f.taken").alias("t")).select("id", "need", "t.term", "t.w")
+    return per.select("id", F.explode(folded["taken"]).alias("term"))
 
 
 def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -129,14 +137,19 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     n = right.count()
     stats = scratch.table(right.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")), "terms")
-    query = _prefixes(left, stats, n, LEFT_SHARE).join(left.select("id", "mask", "number"), "id")
-    query = query.select(F.xxhash64("term", "number").alias("key"), F.col("id").alias("l"), F.col("mask").alias("lm"), F.col("w").cast("float").alias("w"), F.col("need").cast("float").alias("need"))
-    posted = _prefixes(right, stats, n, RIGHT_SHARE).select("id", "term").join(right.select("id", "mask", "nums"), "id")
-    posted = posted.select("term", F.explode(F.array_union(F.col("nums"), F.array(F.lit(0).cast("bigint")))).alias("number"), F.col("id").alias("r"), F.col("mask").alias("rm"))
+    if stats.count() <= BROADCAST_TERMS:
+        stats = F.broadcast(stats)
+    asks = F.array(F.col("number"))
+    if not right.where(F.size("nums") > PAIRED).isEmpty():
+        asks = F.when(F.col("alone") != 0, F.array("number", "alone")).otherwise(asks)
+    query = _prefixes(left, stats, n, LEFT_SHARE).join(left.select("id", "mask", asks.alias("asks")), "id")
+    query = query.select("term", F.explode("asks").alias("number"), F.col("id").alias("l"), F.col("mask").alias("lm"))
+    query = query.select(F.xxhash64("term", "number").alias("key"), "l", "lm")
+    posted = _prefixes(right, stats, n, RIGHT_SHARE).join(right.select("id", "mask", "keys"), "id")
+    posted = posted.select("term", F.explode("keys").alias("number"), F.col("id").alias("r"), F.col("mask").alias("rm"))
     posted = posted.select(F.xxhash64("term", "number").alias("key"), "r", "rm")
     hits = query.join(posted, (query.key == posted.key) & (F.col("lm").bitwiseAND(F.bitwise_not("rm")) == 0))
-    scored = hits.groupBy("l", "r").agg(F.sum("w").alias("got"), F.first("need").alias("need"))
-    return scored.where(F.col("got") >= F.col("need") - 1e-3).select("l", "r")
+    return hits.select("l", "r").distinct()
 
 
 def phrase_likeness(a: str, b: str, least: float = 0.0) -> float:
