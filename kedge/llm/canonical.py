@@ -77,10 +77,19 @@ def _esc(cp: int) -> str:
     return chr(cp) if cp > 0xFFFF else f"\\u{cp:04x}"
 
 
-_FOREIGN = "A-Za-zͰ-Ͽ"
-_CYR = "Ѐ-ӿ"
-_WORD = f"[{_FOREIGN}{_CYR}0-9]"
-_LIKE = "".join(ALIKE)
+_GREEK, _CYR, _LATIN = "Ͱ-Ͽ", "Ѐ-ӿ", "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f\\u1e00-\\u1eff"
+_FOREIGN = _LATIN + _GREEK
+_BETWEEN = "0-9\\u0300-\\u036f"
+_WORD = f"[{_FOREIGN}{_CYR}{_BETWEEN}]"
+
+
+def _as(table: dict[int, str], w: str) -> str:
+    """A word with its letters, accents apart, in another script."""
+    return ud.normalize("NFC", ud.normalize("NFD", w).translate(table))
+
+
+_ACCENTED = [c for c in map(chr, range(0xC0, 0x400)) if len(x := _as(_TO_CYRILLIC, c)) == 1 and "Ѐ" <= x <= "ӿ"]
+_LIKE = "".join(dict.fromkeys([*ALIKE, *_ACCENTED]))
 #: Stable characters of most texts, tested before the long class.
 _COMMON = "\\t\\n\\r -~А-яЁё«»–—"
 
@@ -88,7 +97,8 @@ _COMMON = "\\t\\n\\r -~А-яЁё«»–—"
 @cache
 def quick_check() -> str:
     """Regular expression, valid in Java and Python, that finds a cause to normalise."""
-    mixed = f"[{_CYR}][0-9]*[{_FOREIGN}]|[{_FOREIGN}][0-9]*[{_CYR}]"
+    pairs = ((_CYR, _FOREIGN), (_FOREIGN, _CYR), (_LATIN, _GREEK), (_GREEK, _LATIN))
+    mixed = "|".join(f"[{x}][{_BETWEEN}]*[{y}]" for x, y in pairs)
     alone = f"(?<!{_WORD})[{_LIKE}0-9]*[{_LIKE}][{_LIKE}0-9]*(?!{_WORD})"
     return f"(?=[^{_COMMON}])[{unstable_class()}]|{mixed}|{alone}"
 
@@ -119,20 +129,23 @@ def _fold(segment: str) -> str:
     return ud.normalize("NFC", "".join(out))
 
 
-def _word(m: re.Match) -> str:
+def _word(m: re.Match, cyrillic_text: bool) -> str:
     w = m.group()
-    letters = [c for c in w if not c.isdigit()]
+    letters = [c for c in ud.normalize("NFD", w) if c.isalpha()]
     plain = [c for c in letters if c not in ALIKE and not "Ѐ" <= c <= "ӿ"]
-    cyrillic = [c for c in letters if "Ѐ" <= c <= "ӿ"]
+    cyrillic = any("Ѐ" <= c <= "ӿ" for c in letters)
     if plain:
         if cyrillic or any(c in GREEK_ALIKE for c in letters):
-            if all(c.isascii() for c in plain) and w.translate(_TO_LATIN).isascii():
-                return w.translate(_TO_LATIN)
-            return w.translate(_TO_CYRILLIC) if cyrillic else w
+            latin = _as(_TO_LATIN, w)
+            if all(c.isascii() for c in plain) and not any("Ͱ" <= c <= "ӿ" for c in latin):
+                return latin
+            return _as(_TO_CYRILLIC, w) if cyrillic else w
         return w
     if not cyrillic and len(letters) > 1 and len(letters) == len(w) and w.isascii() and w.isupper():
         return w  # an abbreviation
-    return w.translate(_TO_CYRILLIC)
+    # nothing but look-alikes: the text decides, if it has letters with such accents
+    new = _as(_TO_CYRILLIC, w)
+    return new if cyrillic_text and not any(ud.combining(c) for c in new) else w
 
 
 def canonical(text: str | None) -> str | None:
@@ -151,7 +164,8 @@ def canonical(text: str | None) -> str | None:
         at = m.end()
     if parts:
         text = "".join(parts) + text[at:]
-    return word.sub(_word, text)
+    cyrillic_text = any("Ѐ" <= c <= "ӿ" for c in text)
+    return word.sub(lambda m: _word(m, cyrillic_text), text)
 
 
 @F.pandas_udf(T.StringType())
