@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kedge.functions import similarity as sim
 from kedge.functions import text as tx
 from kedge.functions.identity import content_fingerprint, is_uuid, match_fingerprint, revision_fingerprint, short_id, stable_key
-from kedge.operators import compare, layout, linkage, quality, rollups
+from kedge.operators import compare, layout, linkage, matchers, quality, rollups
 from kedge.sources import store
 from kedge.streaming import ingest
 
@@ -337,6 +337,39 @@ def _(spark, d):
     return linkage.record_tiers(live, tiers, id="stable_key", probable=0.7, score="score").groupBy("tier").agg(F.count("*").alias("records"), F.sum("pairs").alias("pairs"))
 
 
+def _matchable(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Live and published records in the form the matchers take; of a repeated id the smallest content."""
+    answers = lambda c: F.transform(c, lambda a: F.lower(F.trim(a)))
+    q = _t(spark, d, "questions").where("stable_key is not null").select(F.col("stable_key").alias("id"), F.struct(tx.comparison_text(F.col("text")).alias("text"), answers(F.transform("answers", lambda a: a["text"])).alias("answers")).alias("x"))
+    p = _t(spark, d, "published_questions").select(
+        F.col("reference_id").alias("id"),
+        F.struct(tx.comparison_text(F.col("question_text")).alias("text"), answers(F.col("published_answers")).alias("answers"), tx.text_variants(F.col("raw_question_text")).alias("variants"),
+                 (F.size("issues") > 0).alias("incomplete"), F.get("memberships", F.lit(0))["topic_title"].alias("topic"), F.col("document_id").alias("prefix"), F.col("order_no").alias("position")).alias("x"),
+    )
+    one = lambda df: df.groupBy("id").agg(F.min("x").alias("x")).select("id", "x.*")
+    return one(q), one(p)
+
+
+@_query("strict_matches")
+def _(spark, d):
+    live, pub = _matchable(spark, d)
+    pairs = matchers.strict_pairs(live, pub)
+    return rollups.coverage(matchers.strict_records(live, pairs), tier="tier", usable=["exact", "strong"])
+
+
+@_query("topic_matches")
+def _(spark, d):
+    live, pub = _matchable(spark, d)
+    return matchers.topic_records(live, pub).groupBy("tier", "kind").agg(F.count("*").alias("records"))
+
+
+@_query("grouped_matches")
+def _(spark, d):
+    live, pub = _matchable(spark, d)
+    pairs = matchers.grouped_pairs(live, pub)
+    return pairs.groupBy("tier").agg(F.count("*").alias("pairs"), F.countDistinct("l").alias("records"))
+
+
 @_query("topic_consensus", """WITH e AS (SELECT source AS l, split_part(topic_code, '.', 1) AS topic, count(DISTINCT document_id) AS prefixes, count(DISTINCT doc_id) AS positions FROM documents WHERE source IS NOT NULL AND topic_code IS NOT NULL GROUP BY 1, 2),
  p AS (SELECT l, count(*) AS topics, count(*) FILTER (prefixes >= 2) AS backed, count(*) FILTER (prefixes = 1 AND positions = 1) AS lone, list(topic ORDER BY -prefixes, -positions, topic) AS t FROM e GROUP BY l)
  SELECT l, CASE WHEN topics = 1 THEN 'single' WHEN backed = 1 AND lone = topics - 1 THEN 'conflict' ELSE 'several' END AS kind, CASE WHEN topics = 1 OR backed = 1 THEN t[1] END AS "primary", array_to_string(t, '|') AS topics FROM p""")
