@@ -129,7 +129,7 @@ def _fold(segment: str) -> str:
     return ud.normalize("NFC", "".join(out))
 
 
-def _word(m: re.Match, cyrillic_text: bool) -> str:
+def _word(m: re.Match, cyrillic_text: bool, capitals: bool) -> str:
     w = m.group()
     letters = [c for c in ud.normalize("NFD", w) if c.isalpha()]
     plain = [c for c in letters if c not in ALIKE and not "Ѐ" <= c <= "ӿ"]
@@ -141,8 +141,8 @@ def _word(m: re.Match, cyrillic_text: bool) -> str:
                 return latin
             return _as(_TO_CYRILLIC, w) if cyrillic else w
         return w
-    if not cyrillic and len(letters) > 1 and len(letters) == len(w) and w.isascii() and w.isupper():
-        return w  # an abbreviation
+    if not cyrillic and not capitals and len(letters) > 1 and len(letters) == len(w) and w.isascii() and w.isupper():
+        return w  # an abbreviation, unless the whole text is in capitals
     # nothing but look-alikes: the text decides, if it has letters with such accents
     new = _as(_TO_CYRILLIC, w)
     return new if cyrillic_text and not any(ud.combining(c) for c in new) else w
@@ -164,8 +164,9 @@ def canonical(text: str | None) -> str | None:
         at = m.end()
     if parts:
         text = "".join(parts) + text[at:]
-    cyrillic_text = any("Ѐ" <= c <= "ӿ" for c in text)
-    return word.sub(lambda m: _word(m, cyrillic_text), text)
+    cyrillic = [c for c in text if "Ѐ" <= c <= "ӿ"]
+    capitals = len(cyrillic) > 3 and all(c.isupper() for c in cyrillic)
+    return word.sub(lambda m: _word(m, bool(cyrillic), capitals), text)
 
 
 @F.pandas_udf(T.StringType())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kedge import scratch
 from kedge.llm.canonical import canonical_text, irregular
 from kedge.llm.garbled import find_garbled
 from kedge.llm.matching import confidence, content_id, contents, match
@@ -80,19 +81,21 @@ def p6_counts(spark: SparkSession, d: str) -> DataFrame:
     return docs.groupBy("source", "lang").agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens"))
 
 
-def _p7_mix(spark: SparkSession, d: str, total: int | str) -> tuple[DataFrame, DataFrame]:
-    sized = count_tokens(_read(spark, d, "documents"), text="text", keep=["doc_id", "source"]).withColumn("sources", F.array("source"))
-    return mix(sized, _read(spark, d, "mix_targets"), id="doc_id", sources="sources", tokens="tokens", total=total)
+def _p7_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with their tokens and the sources they belong to, here the one of their row."""
+    sized = count_tokens(_read(spark, d, "documents"), text="text", keep=["doc_id", "source"])
+    return sized.withColumn("sources", F.array("source"))
 
 
 def p7_mix(spark: SparkSession, d: str) -> DataFrame:
     """Uses per document of the largest mixture in which every source has its share."""
-    return _p7_mix(spark, d, "shares")[0]
+    return mix(_p7_sizes(spark, d), _read(spark, d, "mix_targets"), id="doc_id", sources="sources", tokens="tokens", total="shares")[0]
 
 
 def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual shares, of that mixture and of one as large as all documents once."""
-    parts = [_p7_mix(spark, d, total)[1].withColumn("total", F.lit(total)) for total in ("shares", "once")]
+    sized, targets = scratch.table(_p7_sizes(spark, d), "tokens"), _read(spark, d, "mix_targets")
+    parts = [mix(sized, targets, id="doc_id", sources="sources", tokens="tokens", total=total)[1].withColumn("total", F.lit(total)) for total in ("shares", "once")]
     return parts[0].unionByName(parts[1])
 
 

@@ -14,7 +14,7 @@ from kedge.llm.tokens import Encoder, count_tokens, decode, encode, read_ranks
 PAIRS = [
     ("Мoтopнaя", "Моторная"), ("йод и ёж", "йод и ёж"), ("во​да", "вода"), ("по­рт", "порт"), ("а б　в г", "а б в г"),
     ("１２，５？", "12,5?"), ("Κατер", "Катер"), ("c борта", "с борта"), ("GPS и VHF", "GPS и VHF"), ("gps vhf ais", "gps vhf ais"), ("VНF", "VHF"),
-    ("", ""), (None, None), ("«Чайка» – 5 км/ч", "«Чайка» – 5 км/ч"), ("​", ""), ("tripulação à vela", "tripulação à vela"), ("судно А12", "судно А12"), ("судно A12", "судно А12"),
+    ("", ""), (None, None), ("«Чайка» – 5 км/ч", "«Чайка» – 5 км/ч"), ("​", ""), ("tripulação à vela", "tripulação à vela"), ("КУДА ИДЁТ CO GPS", "КУДА ИДЁТ СО GPS"), ("сигнал MOB", "сигнал MOB"), ("судно А12", "судно А12"), ("судно A12", "судно А12"),
 ]
 
 
