@@ -67,7 +67,9 @@ def symbols() -> np.ndarray:
     """
     out = np.zeros(0x110000, dtype=np.uint16)
     kinds: dict[str, int] = {}
-    for cp in range(0x110000):
+    # beyond these planes nothing is assigned but marks and private use
+    out[0x33480:] = 0xC02 + kinds.setdefault("Cn", len(kinds))
+    for cp in (*range(0x33480), *range(0xE0000, 0xE0200)):
         if cp < 0x600 or 0x2000 <= cp < 0x2600:
             out[cp] = cp + 1 if cp < 0x600 else cp - 0x2000 + 0x601
         elif 0xD800 <= cp <= 0xF8FF:
@@ -160,6 +162,9 @@ def segments(score: np.ndarray, least: float) -> list[tuple[int, int]]:
     n = len(score)
     if not n:
         return []
+    total = np.cumsum(score, dtype=np.float64)
+    if (total - np.minimum(np.minimum.accumulate(total), 0.0)).max() < least:
+        return []
     up = score > 0
     edges = np.flatnonzero(up[1:] != up[:-1]) + 1
     starts = np.append(0, edges)
