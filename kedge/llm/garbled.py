@@ -11,6 +11,10 @@
    garbled if a mapping makes it cheaper by ``GAIN`` and leaves it as cheap as
    ordinary text; it is replaced by what the mapping gives. Runs that lost characters
    on the way are found by the sequences that are left, and restored as far as those go.
+4. A wrong decoding that many texts share makes its own pairs ordinary. Whatever the
+   corpus, stretches are therefore also found by fixed signs: UTF-8 sequences of letters
+   where sound text has none, and letters that are as frequent as in Russian only after
+   an inverse mapping.
 """
 
 from __future__ import annotations
@@ -53,6 +57,12 @@ COVER = 0.6
 WORST = 13.0
 #: Times one wrong decoding may have been repeated.
 ROUNDS = 3
+#: Score from which a stretch is garbled by fixed signs alone (nats), per changed character, and how many of these differ.
+FIXED, FIXED_EACH, FIXED_LETTERS = 25.0, 0.2, 5
+#: Characters of a window, and its score from which a text is looked at for these signs.
+WINDOW, WINDOW_LEAST = 16, 7.0
+#: Score of each character of a UTF-8 sequence of a letter, of other characters past ASCII, and of four such sequences.
+SEQUENCE, NO_SEQUENCE, SEQUENCES = 2.0, -1.5, 16.0
 
 _ENCODINGS = ("cp1252", "cp1251", "koi8-r", "cp866", "mac-cyrillic", "iso8859-5", "mac-roman")
 _RIGHT = ("utf-8", "cp1251", "koi8-r", "cp866", "mac-cyrillic", "iso8859-5", "cp1252")
@@ -262,6 +272,97 @@ def _covered() -> np.ndarray:
     return out
 
 
+#: Letters of Russian text in percent, case aside.
+_LETTERS = dict(zip("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё", (10.97, 8.45, 8.01, 7.35, 6.7, 6.26, 5.47, 4.73, 4.54, 4.4, 3.49, 3.21, 2.98, 2.81, 2.62, 2.01, 1.9, 1.74, 1.7, 1.65, 1.59, 1.44, 1.21, 0.97, 0.94, 0.73, 0.64, 0.48, 0.36, 0.32, 0.26, 0.04, 0.2), strict=True))
+#: Marks and drawing characters that sound text may hold many of.
+_MARKS, _DRAWN = "\xa0«»–—…№°“”„‘’‚‹›§©®™±·•∙√■¬", "─│═║┌┐└┘├┤┬┴┼╔╗╚╝╠╣╦╩╬█░▒▓"
+
+
+@cache
+def _fixed_scores() -> tuple[list[tuple[str, str, dict[int, int]]], np.ndarray, np.ndarray]:
+    """Single-byte mappings, what each gains at every symbol by the fixed frequencies, and which symbols it changes.
+
+    Letters of ASCII speak against all of them: Western text has its accents among these.
+    """
+    to = symbols()
+    restored = np.full(BASE, -7.5)
+    for c, percent in _LETTERS.items():
+        restored[to[[ord(c), ord(c.upper())]]] = np.log(percent / 100)
+    # marks, drawings and ё are as frequent as letters in some sound text, but no sign of it
+    known = restored.copy()
+    known[to[[ord(c) for c in _MARKS]]] = -3.0
+    known[to[[ord(c) for c in _DRAWN]]] = -2.0
+    known[to[[ord(c) for c in "ёЁ"]]] = -2.0
+    single = [(w, r, t) for w, r, t, utf8 in mappings() if not utf8]
+    gain, changed = np.zeros((len(single), BASE), dtype=np.float32), np.zeros((len(single), BASE), dtype=bool)
+    for i, (_, _, table) in enumerate(single):
+        for c, d in table.items():
+            if c > 0x7F and to[c] != to[d]:
+                gain[i, to[c]], changed[i, to[c]] = restored[to[d]] - known[to[c]], True
+    gain[:, to[[c for c in range(0x80) if chr(c).isalpha()]]] = -1.0
+    return single, gain, changed
+
+
+@cache
+def _sequence_bits() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every symbol the wrong encodings, as bits, in which it leads a UTF-8 letter, continues one, and leads a UTF-8 mark."""
+    lead, rest, mark = (np.zeros(BASE, dtype=np.uint8) for _ in range(3))
+    for wrong, _, table, utf8 in mappings():
+        for c, b in table.items() if utf8 else ():
+            if b in (0xC3, 0xD0, 0xD1):
+                lead[symbols()[c]] |= 1 << _ENCODINGS.index(wrong)
+            elif 0x80 <= b < 0xC0:
+                rest[symbols()[c]] |= 1 << _ENCODINGS.index(wrong)
+            elif b == 0xE2:
+                mark[symbols()[c]] |= 1 << _ENCODINGS.index(wrong)
+    return lead, rest, mark
+
+
+def _by_fixed_signs(text: str) -> tuple[str, tuple[str, str]] | None:
+    """(text with the likeliest stretch restored, mapping) by signs that do not depend on the corpus."""
+    s = _codes(text)
+    best: tuple[float, int, int, str, str, dict[int, int], bool] | None = None
+    lead, rest, mark = _sequence_bits()
+    pair = lead[s[:-1]] & rest[s[1:]]
+    three = mark[s[:-2]] & rest[s[1:-1]] & rest[s[2:]]
+    past = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    past = (past > 0x7F) & (past != 0xFFFD)
+    for wrong, right, table, utf8 in mappings():
+        at = pair >> _ENCODINGS.index(wrong) & 1 if utf8 else pair[:0]
+        if at.sum() < SEQUENCES / SEQUENCE / 2:
+            continue
+        score = np.where(past, NO_SEQUENCE, 0.0)
+        score[:-1][at > 0] = SEQUENCE
+        score[1:][at > 0] = SEQUENCE
+        for i in np.flatnonzero(three >> _ENCODINGS.index(wrong) & 1).tolist():
+            score[i : i + 3] = SEQUENCE
+        for lo, hi in segments(score, SEQUENCES):
+            total = float(score[lo:hi].sum())
+            if best is None or total > best[0]:
+                best = (total, lo, hi, wrong, right, table, True)
+    if best is None:
+        single, gain, changed = _fixed_scores()
+        for i, (wrong, right, table) in enumerate(single):
+            score = gain[i][s].astype(np.float64)
+            for lo, hi in segments(score, FIXED):
+                total = float(score[lo:hi].sum())
+                concerned = s[lo:hi][changed[i][s[lo:hi]]]
+                # frequencies tell nothing about a few letters repeated
+                if total >= FIXED_EACH * len(concerned) and len(np.unique(concerned)) >= FIXED_LETTERS and (best is None or total > best[0]):
+                    best = (total, lo, hi, wrong, right, table, False)
+    if best is None:
+        return None
+    _, lo, hi, wrong, right, table, utf8 = best
+    while lo > 0 and not text[lo - 1].isspace():
+        lo -= 1
+    while hi < len(text) and not text[hi].isspace():
+        hi += 1
+    if utf8:
+        new = _from_utf8(text[lo:hi], table)
+        return (text[:lo] + new[0] + text[hi:], (wrong, right)) if new else None
+    return text[:lo] + text[lo:hi].translate(table) + text[hi:], (wrong, right)
+
+
 def best_mapping(run: str, model: PairModel, gain: float = GAIN) -> tuple[str, list[tuple[str, str]]]:
     """(restored run, mappings applied in order); the run itself and none if nothing makes it ordinary."""
     done: list[tuple[str, str]] = []
@@ -384,7 +485,9 @@ def suspects(texts: list[str | None], model: PairModel) -> np.ndarray:
     at = [i for i, t in enumerate(texts) if t and len(t) > 1]
     if not at:
         return out
-    costs = model.costs("\x00".join(texts[i] for i in at))
+    s = _codes("\x00".join(texts[i] for i in at))
+    code = model.index[s]
+    costs = model.cost[code[:-1] * model.k + code[1:]]
     sizes = np.array([len(texts[i]) + 1 for i in at])
     ends = np.cumsum(sizes) - 1
     starts = ends - sizes + 1
@@ -396,6 +499,24 @@ def suspects(texts: list[str | None], model: PairModel) -> np.ndarray:
         total = np.cumsum(score)
         gain = total - np.minimum.accumulate(np.append(0.0, total[:-1]))
         out[np.array(at)] |= np.maximum.reduceat(gain, np.minimum(starts, len(gain) - 1)) >= least
+    out[np.array(at)] |= _signs(s, starts, sizes)
+    return out
+
+
+def _signs(s: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which of the texts in ``s`` show signs that do not depend on the corpus."""
+    lead, rest, _ = _sequence_bits()
+    pair = np.append(lead[s[:-1]] & rest[s[1:]], 0) != 0
+    out = np.add.reduceat(pair, starts, dtype=np.int64) >= SEQUENCES / SEQUENCE / 2
+    # windows begin with their text, so none holds two texts
+    windows = -(-sizes // WINDOW)
+    of = np.repeat(np.arange(len(starts)), windows)
+    first = np.cumsum(windows) - windows
+    edges = starts[of] + (np.arange(len(of)) - first[of]) * WINDOW
+    high = np.zeros(len(of), dtype=bool)
+    for gain in _fixed_scores()[1]:
+        high |= np.add.reduceat(gain[s], np.minimum(edges, len(s) - 1)) >= WINDOW_LEAST
+    out[of[high]] = True
     return out
 
 
@@ -403,6 +524,14 @@ def restore(text: str, model: PairModel) -> tuple[str, list[tuple[str, str]]]:
     """(restored text, mappings that restored runs of it)."""
     if len(text) < 2:
         return text, []
+    outright: list[tuple[str, str]] = []
+    # a text may be garbled in several stretches, each of them several times
+    for _ in range(ROUNDS * ROUNDS):
+        found = _by_fixed_signs(text)
+        if not found:
+            break
+        text = found[0]
+        outright.append(found[1])
     parts, at, done = [], 0, []
     for lo, hi in runs(text, model.costs(text)):
         new, how = best_mapping(text[lo:hi], model)
@@ -416,7 +545,7 @@ def restore(text: str, model: PairModel) -> tuple[str, list[tuple[str, str]]]:
         table = next((t for w, r, t, utf8 in mappings() if (w, r) == (wrong, right) and not utf8), None)
         if table:
             text = _where_cheaper(text, text.translate(table), model)
-    return text, done
+    return text, outright + done
 
 
 def _where_cheaper(text: str, new: str, model: PairModel) -> str:

@@ -116,6 +116,17 @@ def test_garbled_is_found_and_restored(spark):
     assert garbled.find_garbled(df.limit(0), id="doc_id", text="text").count() == 0
 
 
+def test_garbling_of_a_third_of_the_corpus_is_found():
+    docs = _corpus(90)
+    for wrong, right in MAPPINGS[:4] + [("cp1252", "cp1251"), ("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("cp866", "koi8-r")]:
+        texts = [_spoil(t, wrong, right) if i % 3 == 0 else t for i, t in enumerate(docs)]
+        model = garbled.PairModel(*garbled.pair_counts(texts))
+        looked = garbled.suspects(texts, model)
+        done = [garbled.restore(t, model) if yes else (t, []) for t, yes in zip(texts, looked)]
+        assert [bool(how) for _, how in done] == [i % 3 == 0 for i in range(90)], (wrong, right)
+        assert sum(new.lower() == t.lower() for (new, _), t in zip(done, docs)) > 75, (wrong, right)
+
+
 def test_segments_against_all_subsegments():
     import numpy as np
 
