@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kedge import scratch
 from kedge.functions import similarity as sim
 from kedge.functions import text as tx
 from kedge.functions.identity import content_fingerprint, is_uuid, match_fingerprint, revision_fingerprint, short_id, stable_key
@@ -350,6 +351,24 @@ def _matchable(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return one(q), one(p)
 
 
+def _groups(spark: SparkSession, d: str) -> DataFrame:
+    """Published rows of one document, topic, wording and, where one is needed, picture as a group; text and variants are those of its first row."""
+    p = _t(spark, d, "published_questions").dropDuplicates(["reference_id"])
+    p = scratch.table(p.withColumn("text", tx.comparison_text(F.col("question_text"))), "published")
+    m = F.get("memberships", F.lit(0))
+    text, hashes = F.col("text"), F.array_sort(F.filter(F.transform("illustration_refs", lambda x: x["sha256"]), lambda x: x.isNotNull()))
+    shown = F.when(tx.needs_picture(text, F.transform("published_answers", F.lower)), F.when(F.size(hashes) > 0, F.array_join(hashes, "|")).otherwise("no-image")).otherwise("")
+    # a full list of options is no list of correct answers
+    correct = F.when(F.col("correctness_known") & F.col("published_correct_answer").isNotNull(), F.array("published_correct_answer")).when(F.col("answer_structure") == "published_answer_only", F.col("published_answers")).otherwise(F.array().cast("array<string>"))
+    rows = p.select(
+        F.to_json(F.struct("document_id", m["dimension"].alias("dimension"), m["category"].alias("category"), m["topic_code"].alias("topic"), "text", shown.alias("shown"))).alias("scope"),
+        "reference_id", "order_no", F.transform(correct, lambda a: F.lower(F.trim(a))).alias("answers"), "text", tx.text_variants(F.col("raw_question_text")).alias("variants"), (F.size("issues") > 0).alias("incomplete"),
+    )
+    groups = rollups.reference_groups(rows, key=["scope"], order="order_no", row_id="reference_id", answers="answers", answer_key=F.col("answer"))
+    firsts = rows.groupBy("scope").agg(F.min_by(F.struct("text", "variants", "incomplete"), F.struct("order_no", "reference_id")).alias("x"))
+    return scratch.table(groups.join(firsts, "scope").select(F.col("group_id").alias("id"), "answers", "x.*"), "groups")
+
+
 @_query("strict_matches")
 def _(spark, d):
     live, pub = _matchable(spark, d)
@@ -365,8 +384,8 @@ def _(spark, d):
 
 @_query("grouped_matches")
 def _(spark, d):
-    live, pub = _matchable(spark, d)
-    pairs = matchers.grouped_pairs(live, pub)
+    live, _ = _matchable(spark, d)
+    pairs = matchers.grouped_pairs(live, _groups(spark, d))
     return pairs.groupBy("tier").agg(F.count("*").alias("pairs"), F.countDistinct("l").alias("records"))
 
 
@@ -431,8 +450,6 @@ def _(spark, d):
 
 @_query("streaming_counts", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def _(spark, d):
-    from kedge import scratch
-
     root = f"{scratch.folder(spark)}/stream-{uuid.uuid4().hex}"
     source = _t(spark, d, "events")
     stream = ingest.file_stream(spark, f"{d}/events.parquet", source.schema).groupBy("event_type").agg(F.count("*").alias("n"))

@@ -144,6 +144,13 @@ def test_fuzzy_recall_against_all_pairs(spark):
     assert found <= want and len(found) >= 0.9 * len(want) > 10
 
 
+def test_fuzzy_ranks_texts_not_copies(spark):
+    left = spark.createDataFrame([("l", "какое судно уступает дорогу плоту")], "l string, t string")
+    right = spark.createDataFrame([(f"a{i}", "какое судно уступает дорогу плоту 1") for i in range(5)] + [("z", "какое судно уступает дорогу плотам 22")], "r string, t string")
+    got = linkage.fuzzy_pairs(left, right, id=("l", "r"), text=("t", "t"), cutoff=85.0, k=2)
+    assert {x.r for x in got.collect()} == {"a0", "a1", "a2", "a3", "a4", "z"}
+
+
 def test_consensus(spark):
     p = spark.createDataFrame([("one", "t", "A", 1), ("conf", "t", "A", 1), ("conf", "t", "B", 2), ("conf", "u", "C", 3), ("many", "t", "A", 1), ("many", "u", "B", 2), ("none", None, "A", 1)], "l string, topic string, prefix string, pos int")
     assert rows(linkage.topic_consensus(p, topic="topic", prefix="prefix", position="pos"), "l", "kind", "primary", "topics") == [("conf", "conflict", "t", ["t", "u"]), ("many", "several", None, ["t", "u"]), ("one", "single", "t", ["t"])]
