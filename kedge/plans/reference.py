@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kedge import scratch
@@ -338,14 +338,21 @@ def _(spark, d):
     return linkage.record_tiers(live, tiers, id="stable_key", probable=0.7, score="score").groupBy("tier").agg(F.count("*").alias("records"), F.sum("pairs").alias("pairs"))
 
 
+def _hashes(pictures: str) -> Column:
+    """Hashes of the pictures of a row, sorted; none where it has none."""
+    return F.coalesce(F.array_sort(F.filter(F.transform(pictures, lambda x: x["sha256"]), lambda x: x.isNotNull())), F.array().cast("array<string>"))
+
+
 def _matchable(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Live and published records in the form the matchers take; of a repeated id the smallest content."""
     answers = lambda c: F.transform(c, lambda a: F.lower(F.trim(a)))
-    q = _t(spark, d, "questions").where("stable_key is not null").select(F.col("stable_key").alias("id"), F.struct(tx.comparison_text(F.col("text")).alias("text"), answers(F.transform("answers", lambda a: a["text"])).alias("answers")).alias("x"))
+    q = _t(spark, d, "questions").where("stable_key is not null").select(F.col("stable_key").alias("id"), F.struct(tx.comparison_text(F.col("text")).alias("text"), answers(F.transform("answers", lambda a: a["text"])).alias("answers"),
+                 _hashes("resources").alias("pictures"), F.coalesce(F.exists("answers", lambda a: F.size(a["resources"]) > 0), F.lit(False)).alias("answer_media")).alias("x"))
     p = _t(spark, d, "published_questions").select(
         F.col("reference_id").alias("id"),
         F.struct(tx.comparison_text(F.col("question_text")).alias("text"), answers(F.col("published_answers")).alias("answers"), tx.text_variants(F.col("raw_question_text")).alias("variants"),
-                 (F.size("issues") > 0).alias("incomplete"), F.get("memberships", F.lit(0))["topic_title"].alias("topic"), F.col("document_id").alias("prefix"), F.col("order_no").alias("position")).alias("x"),
+                 (F.size("issues") > 0).alias("incomplete"), F.get("memberships", F.lit(0))["topic_title"].alias("topic"), F.col("document_id").alias("prefix"), F.col("order_no").alias("position"),
+                 _hashes("illustration_refs").alias("pictures"), (F.size("graphic_refs") > 0).alias("graphics")).alias("x"),
     )
     one = lambda df: df.groupBy("id").agg(F.min("x").alias("x")).select("id", "x.*")
     return one(q), one(p)
@@ -356,17 +363,17 @@ def _groups(spark: SparkSession, d: str) -> DataFrame:
     p = _t(spark, d, "published_questions").dropDuplicates(["reference_id"])
     p = scratch.table(p.withColumn("text", tx.comparison_text(F.col("question_text"))), "published")
     m = F.get("memberships", F.lit(0))
-    text, hashes = F.col("text"), F.array_sort(F.filter(F.transform("illustration_refs", lambda x: x["sha256"]), lambda x: x.isNotNull()))
+    text, hashes = F.col("text"), _hashes("illustration_refs")
     shown = F.when(tx.needs_picture(text, F.transform("published_answers", F.lower)), F.when(F.size(hashes) > 0, F.array_join(hashes, "|")).otherwise("no-image")).otherwise("")
     # a full list of options is no list of correct answers
     correct = F.when(F.col("correctness_known") & F.col("published_correct_answer").isNotNull(), F.array("published_correct_answer")).when(F.col("answer_structure") == "published_answer_only", F.col("published_answers")).otherwise(F.array().cast("array<string>"))
     rows = p.select(
         F.to_json(F.struct("document_id", m["dimension"].alias("dimension"), m["category"].alias("category"), m["topic_code"].alias("topic"), "text", shown.alias("shown"))).alias("scope"),
-        "reference_id", "order_no", F.transform(correct, lambda a: F.lower(F.trim(a))).alias("answers"), "text", tx.text_variants(F.col("raw_question_text")).alias("variants"), (F.size("issues") > 0).alias("incomplete"),
+        "reference_id", "order_no", F.transform(correct, lambda a: F.lower(F.trim(a))).alias("answers"), "text", tx.text_variants(F.col("raw_question_text")).alias("variants"), (F.size("issues") > 0).alias("incomplete"), hashes.alias("pictures"), (F.size("graphic_refs") > 0).alias("graphics"),
     )
     groups = rollups.reference_groups(rows, key=["scope"], order="order_no", row_id="reference_id", answers="answers", answer_key=F.col("answer"))
-    firsts = rows.groupBy("scope").agg(F.min_by(F.struct("text", "variants", "incomplete"), F.struct("order_no", "reference_id")).alias("x"))
-    return scratch.table(groups.join(firsts, "scope").select(F.col("group_id").alias("id"), "answers", "x.*"), "groups")
+    firsts = rows.groupBy("scope").agg(F.min_by(F.struct("text", "variants", "incomplete"), F.struct("order_no", "reference_id")).alias("x"), F.flatten(F.collect_list("pictures")).alias("pictures"), F.bool_or("graphics").alias("graphics"))
+    return scratch.table(groups.join(firsts, "scope").select(F.col("group_id").alias("id"), "answers", "x.*", "pictures", "graphics"), "groups")
 
 
 @_query("strict_matches")
