@@ -301,7 +301,8 @@ def _(spark, d):
 
 
 def _linked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    live = _t(spark, d, "questions").where("stable_key is not null").groupBy("stable_key").agg(F.min(F.struct("snapshot_id", tx.comparison_text(F.col("text")).alias("t"), F.transform("answers", lambda a: F.lower(a["text"])).alias("a"))).alias("x")).select("stable_key", "x.t", "x.a")
+    live = _t(spark, d, "questions").where("stable_key is not null").select(F.col("stable_key").alias("record"), tx.comparison_text(F.col("text")).alias("t"), F.transform("answers", lambda a: F.lower(a["text"])).alias("a"))
+    live = _contents(live)
     pub = _t(spark, d, "published_questions").groupBy("reference_id").agg(F.min(F.struct(tx.comparison_text(F.col("question_text")).alias("t"), F.transform("published_answers", F.lower).alias("a"), tx.text_variants(F.col("raw_question_text")).alias("v"), "document_id")).alias("x")).select("reference_id", "x.*")
     return live, pub
 
@@ -324,18 +325,18 @@ def _(spark, d):
 @_query("linked_records")
 def _(spark, d):
     live, pub = _linked(spark, d)
-    ids = ("stable_key", "reference_id")
+    ids = ("id", "reference_id")
     exact = linkage.variant_pairs(live, pub, id=ids, text="t", variants="v")
     bags = linkage.bag_pairs(live, pub, id=ids, bag=("a", "a"))
-    fuzzy = linkage.fuzzy_pairs(linkage.gated(live, exact, id="stable_key"), pub, id=ids, text=("t", "t"), cutoff=85.0, k=40)
-    pairs = linkage.union_pairs(exact, bags, fuzzy).join(live.select(F.col("stable_key").alias("l"), F.col("t").alias("tl"), F.col("a").alias("al")), "l").join(pub.select(F.col("reference_id").alias("r"), F.col("t").alias("tr"), F.col("a").alias("ar"), "document_id"), "r")
+    fuzzy = linkage.fuzzy_pairs(linkage.gated(live, exact, id="id"), pub, id=ids, text=("t", "t"), cutoff=85.0, k=40)
+    pairs = linkage.union_pairs(exact, bags, fuzzy).join(live.select(F.col("id").alias("l"), F.col("t").alias("tl"), F.col("a").alias("al")), "l").join(pub.select(F.col("reference_id").alias("r"), F.col("t").alias("tr"), F.col("a").alias("ar"), "document_id"), "r")
     score = sim.indel_ratio("tl", "tr") / 100
     pairs = pairs.withColumn("score", score).withColumn("answers", sim.assign_greedy("al", "ar"))
     same = tx.critical_tokens(F.col("tl")) == tx.critical_tokens(F.col("tr"))
     known = F.coalesce(F.forall("ar", lambda x: F.array_contains("al", x)), F.lit(False))
     pairs = pairs.withColumn("exact", F.col("tl") == F.col("tr")).withColumn("accepted", same & ((F.col("score") >= 0.97) | (F.col("exact") & known) | ((F.col("score") >= 0.9) & known)))
     tiers = linkage.accepted_unless_contested(pairs, score="score", content="tr", accepted="accepted", exact="exact", width=0.01)
-    return linkage.record_tiers(live, tiers, id="stable_key", probable=0.7, score="score").groupBy("tier").agg(F.count("*").alias("records"), F.sum("pairs").alias("pairs"))
+    return linkage.record_tiers(*_of_records(live, tiers, "score"), id="id", probable=0.7, score="score").groupBy("tier").agg(F.count("*").alias("records"), F.sum("pairs").alias("pairs"))
 
 
 def _hashes(pictures: str) -> Column:
@@ -344,18 +345,32 @@ def _hashes(pictures: str) -> Column:
 
 
 def _matchable(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Live and published records in the form the matchers take; of a repeated id the smallest content."""
+    """Live and published records in the form the matchers take: every distinct content of a live ``record``, every topic of a published row."""
     answers = lambda c: F.transform(c, lambda a: F.lower(F.trim(a)))
     q = _t(spark, d, "questions").where("stable_key is not null").select(F.col("stable_key").alias("id"), F.struct(tx.comparison_text(F.col("text")).alias("text"), answers(F.transform("answers", lambda a: a["text"])).alias("answers"),
                  _hashes("resources").alias("pictures"), F.coalesce(F.exists("answers", lambda a: F.size(a["resources"]) > 0), F.lit(False)).alias("answer_media")).alias("x"))
     p = _t(spark, d, "published_questions").select(
         F.col("reference_id").alias("id"),
         F.struct(tx.comparison_text(F.col("question_text")).alias("text"), answers(F.col("published_answers")).alias("answers"), tx.text_variants(F.col("raw_question_text")).alias("variants"),
-                 (F.size("issues") > 0).alias("incomplete"), F.get("memberships", F.lit(0))["topic_title"].alias("topic"), F.col("document_id").alias("prefix"), F.col("order_no").alias("position"),
+                 (F.size("issues") > 0).alias("incomplete"), F.array_distinct(F.transform("memberships", lambda m: m["topic_title"])).alias("topics"), F.col("document_id").alias("prefix"), F.col("order_no").alias("position"),
                  _hashes("illustration_refs").alias("pictures"), (F.size("graphic_refs") > 0).alias("graphics")).alias("x"),
     )
     one = lambda df: df.groupBy("id").agg(F.min("x").alias("x")).select("id", "x.*")
-    return one(q), one(p)
+    return _contents(q.select(F.col("id").alias("record"), "x.*")), one(p)
+
+
+def _contents(rows: DataFrame) -> DataFrame:
+    """Distinct rows of each ``record`` with an ``id``."""
+    held = rows.distinct()
+    return held.withColumn("id", F.sha2(F.to_json(F.struct(*held.columns)), 256))
+
+
+def _of_records(live: DataFrame, pairs: DataFrame, score: str) -> tuple[DataFrame, DataFrame]:
+    """Records, and the pairs of their contents as pairs of records: the best tier and score of each."""
+    order = F.array(*[F.lit(x) for x in ("exact", "strong", "ambiguous", "candidate")])
+    of = live.select(F.col("id").alias("l"), "record")
+    best = pairs.join(of, "l").groupBy(F.col("record").alias("l"), "r").agg(F.element_at(order, F.min(F.array_position(order, F.col("tier"))).cast("int")).alias("tier"), F.max(score).alias(score))
+    return live.select(F.col("record").alias("id")).distinct(), best
 
 
 def _groups(spark: SparkSession, d: str) -> DataFrame:
@@ -379,8 +394,8 @@ def _groups(spark: SparkSession, d: str) -> DataFrame:
 @_query("strict_matches")
 def _(spark, d):
     live, pub = _matchable(spark, d)
-    pairs = matchers.strict_pairs(live, pub)
-    return rollups.coverage(matchers.strict_records(live, pairs), tier="tier", usable=["exact", "strong"])
+    records, pairs = _of_records(live, matchers.strict_pairs(live, pub), "confidence")
+    return rollups.coverage(matchers.strict_records(records, pairs), tier="tier", usable=["exact", "strong"])
 
 
 @_query("topic_matches")
@@ -392,7 +407,7 @@ def _(spark, d):
 @_query("grouped_matches")
 def _(spark, d):
     live, _ = _matchable(spark, d)
-    pairs = matchers.grouped_pairs(live, _groups(spark, d))
+    _, pairs = _of_records(live, matchers.grouped_pairs(live, _groups(spark, d)), "score")
     return pairs.groupBy("tier").agg(F.count("*").alias("pairs"), F.countDistinct("l").alias("records"))
 
 
