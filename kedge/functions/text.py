@@ -43,6 +43,8 @@ TITLE_SUFFIX = "ммс|мпс|гд|с|ввп|вп|мп"
 # End of fixed values.
 
 _NUMBER = r"\d+(?:[.,]\d+)?"
+#: Letters, digits and the underscore; the JVM's own class of word characters also has marks and joiners.
+_LETTER = r"\p{L}\p{N}_"
 
 
 def _udf(f: Callable[[str], str]):
@@ -108,12 +110,12 @@ def title_key(c: Column) -> Column:
 
 
 def _unwrapped(c: Column) -> Column:
-    return squeeze(F.regexp_replace(c, r"(?U)(?<=\w)-\s*(?:\n\s*)?(?=\w)", ""))
+    return squeeze(F.regexp_replace(c, rf"(?U)(?<=[{_LETTER}])-\s*(?:\n\s*)?(?=[{_LETTER}])", ""))
 
 
 def words_text(c: Column) -> Column:
     """NFKC, lower case, wrapped words joined, punctuation as blanks: the words in their order."""
-    return squeeze(F.regexp_replace(_unwrapped(F.lower(_nfkc(c))), r"(?U)[^\w\s]", " "))
+    return squeeze(F.regexp_replace(_unwrapped(F.lower(_nfkc(c))), rf"(?U)[^{_LETTER}\s]", " "))
 
 
 def cased_text(c: Column) -> Column:
@@ -130,6 +132,41 @@ def _topic_text(s: str) -> str:
     return " ".join(s.split())
 
 
+def _folded(s: str) -> str:
+    table = str.maketrans(TYPOGRAPHY | {SOFT_HYPHEN: "", "ё": "е"})
+    return " ".join(unicodedata.normalize("NFKC", s).casefold().translate(table).split())
+
+
+def _words(s: str) -> str:
+    s = re.sub(r"(?<=\w)-\s*(?:\n\s*)?(?=\w)", "", unicodedata.normalize("NFKC", s).lower())
+    return " ".join(re.sub(r"[^\w\s]", " ", s).split())
+
+
+def _each(f: Callable[[str], str]):
+    """``f`` of every element of an array; null elements count as empty."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, str] = {}
+        for s in batches:
+            if len(known) > 100_000:
+                known.clear()
+            out = []
+            for a in s:
+                if a is None:
+                    out.append(None)
+                    continue
+                a = ["" if x is None else x for x in a]
+                for x in a:
+                    if x not in known:
+                        known[x] = f(x)
+                out.append([known[x] for x in a])
+            yield pd.Series(out, dtype=object)
+
+    return run
+
+
+folded_texts, topic_texts, words_texts = _each(_folded), _each(_topic_text), _each(_words)
 topic_text = _udf(_topic_text)
 topic_text.__doc__ = "As ``comparison_text``, with look-alike letters in tokens of up to three letters made Cyrillic."
 
@@ -137,7 +174,8 @@ topic_text.__doc__ = "As ``comparison_text``, with look-alike letters in tokens
 def critical_tokens(c: Column, lexicon: str = NEGATION_LEXICON, marks: str = "") -> Column:
     """Numbers, words of ``lexicon`` and ``marks`` in the order of the (folded) text."""
     tail = f"|[{marks}]" if marks else ""
-    return F.regexp_extract_all(c, F.lit(rf"(?U){_NUMBER}|\b(?:{lexicon})\b{tail}"), F.lit(0))
+    words = lexicon.replace(r"\w", f"[{_LETTER}]")
+    return F.regexp_extract_all(c, F.lit(rf"(?U){_NUMBER}|(?<![{_LETTER}])(?:{words})(?![{_LETTER}]){tail}"), F.lit(0))
 
 
 def wide_tokens(c: Column) -> Column:

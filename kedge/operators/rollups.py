@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kedge import scratch
+from kedge.functions import text as tx
 from kedge.functions.identity import short_id
 from kedge.operators.layout import nearest
 
@@ -37,6 +39,49 @@ def reference_groups(rows: DataFrame, *, key: Sequence[str], order: str, row_id:
     return j.select(*[F.col(f"h.{k}").alias(k) for k in key], short_id(prefix, *[F.col(f"h.{k}").cast("string") for k in key]).alias("group_id"), "rows", "row_ids", F.coalesce("answers", F.array().cast("array<string>")).alias("answers"), F.coalesce("answer_rows", F.lit(0).cast("bigint")).alias("answer_rows"))
 
 
+def json_key(*parts: Column) -> Column:
+    """JSON array of texts and arrays of texts, without blanks; null texts are empty."""
+    one = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+    return F.concat(F.lit("["), F.concat_ws(",", *[one(p) for p in parts]), F.lit("]"))
+
+
+def question_groups(rows: DataFrame, *, prefix: str = "group:") -> tuple[DataFrame, DataFrame]:
+    """(groups, rows with their ``group_id``): published rows that ask the same, of one document, category and topic.
+
+    Rows have id, document_id, dimension, category, topic_code, question_text,
+    raw_question_text, published_answers, correctness_known, published_correct_answer,
+    answer_structure, pictures, graphics, masked, incomplete, position. A group is a document,
+    dimension, category, topic code, wording (``text.cased_text``) and, where the question needs
+    its picture, sorted picture hashes ("no-image" without any). Its first row gives text,
+    readings and incompleteness; ``answers`` are the distinct correct ones (by
+    ``text.words_text``) in row order. A full list of options is no list of correct answers. Pictures keep how
+    often they occur (up to 1,000). Rows of a group are not listed in it, so a group can hold any
+    number; each row carries its group. Null parts of the key are empty.
+    """
+    text = tx.cased_text(F.col("question_text"))
+    needs = tx.needs_picture(F.col("question_text"), tx.words_texts("published_answers"), narrow=True)
+    right = F.when(F.col("correctness_known") & F.col("published_correct_answer").isNotNull(), F.array("published_correct_answer")).when(F.col("answer_structure") == "published_answer_only", F.col("published_answers")).otherwise(F.array().cast("array<string>"))
+    held = rows.withColumns({"text": F.coalesce(text, F.lit("")), "needs_picture": needs, "right": right}).withColumn("keys", tx.words_texts("right"))
+    shown = F.when(~F.col("needs_picture"), F.array().cast("array<string>")).when(F.size("pictures") > 0, F.array_sort("pictures")).otherwise(F.array(F.lit("no-image")))
+    parts = [F.coalesce(F.col(c), F.lit("")) for c in ("document_id", "dimension", "category", "topic_code", "text")]
+    held = held.withColumn("group_id", F.concat(F.lit(prefix), F.substring(F.sha2(json_key(*parts, shown), 256), 1, 24)))
+    held = scratch.table(held, "grouped")
+    order = F.struct("position", "id")
+    firsts = held.groupBy("group_id").agg(
+        F.min_by(F.struct("document_id", "dimension", "category", "topic_code", "text", "needs_picture", F.col("question_text").alias("as_printed"), F.col("raw_question_text").alias("raw"), "incomplete"), order).alias("x"),
+        F.count("*").alias("rows"), F.bool_or("graphics").alias("graphics"), F.bool_or("masked").alias("masked"),
+    )
+    each = held.select("group_id", order.alias("o"), F.posexplode(F.arrays_zip("right", "keys")).alias("nth", "z")).select("group_id", F.struct("o", "nth").alias("o"), F.col("z.right").alias("answer"), F.col("z.keys").alias("key"))
+    answers = each.groupBy("group_id", "key").agg(F.min_by("answer", "o").alias("answer"), F.min("o").alias("o"))
+    answers = answers.groupBy("group_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "key", "answer"))), lambda x: x["answer"]).alias("answers"), F.array_sort(F.collect_set("key")).alias("answer_keys"))
+    seen = held.select("group_id", F.explode("pictures").alias("sha")).groupBy("group_id", "sha").agg(F.least(F.count("*"), F.lit(1000)).cast("int").alias("n"))
+    seen = seen.groupBy("group_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("sha", "n"))), lambda x: F.array_repeat(x["sha"], x["n"]))).alias("pictures"))
+    none = F.array().cast("array<string>")
+    g = firsts.join(answers, "group_id", "left").join(seen, "group_id", "left")
+    g = g.select(F.col("group_id").alias("id"), "x.*", "rows", "graphics", "masked", *[F.coalesce(c, none).alias(c) for c in ("answers", "answer_keys", "pictures")])
+    return g.withColumn("variants", tx.text_variants(F.col("raw"))), held
+
+
 def canonical_titles(rows: DataFrame, *, title: str, key: Column) -> DataFrame:
     """``topic_id, title_key, title, spellings, rows``: titles of one normalised key; the most frequent spelling, ties alphabetical."""
     n = rows.where(F.col(title).isNotNull()).withColumn("title_key", key).groupBy("title_key", title).agg(F.count("*").alias("n"))

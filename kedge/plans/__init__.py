@@ -3,6 +3,6 @@
 
 def modules() -> list:
     """Modules with ``queries()`` and ``sql()``."""
-    from kedge.plans import changes, reference
+    from kedge.plans import changes, links, reference
 
-    return [changes, reference]
+    return [changes, reference, links]

@@ -230,17 +230,6 @@ def _(spark, d):
     return rollups.canonical_titles(_t(spark, d, "memberships"), title="topic_title", key=F.lower("topic_title"))
 
 
-@_query("reference_groups", """WITH r AS (SELECT DISTINCT document_id, normalized_question_text AS q, order_no, reference_id, published_answers FROM published_questions),
- e AS (SELECT document_id, q, order_no, unnest(published_answers) AS a FROM r), f AS (SELECT document_id, q, lower(a) AS k, arg_min(a, order_no) AS v, min(order_no) AS o, count(*) AS n FROM e WHERE a IS NOT NULL GROUP BY 1, 2, 3),
- g AS (SELECT document_id, q, string_agg(v, '|' ORDER BY o, k) AS answers, sum(n)::BIGINT AS answer_rows FROM f GROUP BY 1, 2)
- SELECT r.document_id, r.q AS question, 'group:' || substr(sha256(coalesce(r.document_id, '') || chr(10) || coalesce(r.q, '')), 1, 24) AS group_id, count(*) AS rows, string_agg(reference_id, '|' ORDER BY order_no) AS row_ids,
-  coalesce(any_value(g.answers), '') AS answers, coalesce(any_value(g.answer_rows), 0) AS answer_rows FROM r LEFT JOIN g ON r.document_id IS NOT DISTINCT FROM g.document_id AND r.q IS NOT DISTINCT FROM g.q GROUP BY 1, 2""")
-def _(spark, d):
-    p = _t(spark, d, "published_questions").select("document_id", F.col("normalized_question_text").alias("question"), "order_no", "reference_id", "published_answers").distinct()
-    g = rollups.reference_groups(p, key=["document_id", "question"], order="order_no", row_id="reference_id", answers="published_answers", answer_key=F.lower("answer"))
-    return g.select("document_id", "question", "group_id", "rows", F.array_join("row_ids", "|").alias("row_ids"), F.array_join("answers", "|").alias("answers"), "answer_rows")
-
-
 @_query("usable_sets", """WITH l AS (SELECT DISTINCT stable_key AS key FROM questions WHERE stable_key IS NOT NULL AND question_type = 'single'), r AS (SELECT DISTINCT stable_key AS key FROM questions WHERE stable_key IS NOT NULL AND len(resources) > 0),
  u AS (SELECT DISTINCT stable_key AS key FROM questions WHERE stable_key IS NOT NULL)
  SELECT CASE WHEN l.key IS NOT NULL AND r.key IS NOT NULL THEN 'both' WHEN l.key IS NOT NULL THEN 'only_left' WHEN r.key IS NOT NULL THEN 'only_right' ELSE 'neither' END AS relation, count(*) AS n FROM u LEFT JOIN l ON u.key = l.key LEFT JOIN r ON u.key = r.key GROUP BY 1""")
@@ -300,21 +289,6 @@ def _(spark, d):
 # ---- candidate pairs and decisions
 
 
-def _linked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    live = _t(spark, d, "questions").where("stable_key is not null").select(F.col("stable_key").alias("record"), tx.comparison_text(F.col("text")).alias("t"), F.transform("answers", lambda a: F.lower(a["text"])).alias("a"))
-    live = _contents(live)
-    pub = _t(spark, d, "published_questions").groupBy("reference_id").agg(F.min(F.struct(tx.comparison_text(F.col("question_text")).alias("t"), F.transform("published_answers", F.lower).alias("a"), tx.text_variants(F.col("raw_question_text")).alias("v"), "document_id")).alias("x")).select("reference_id", "x.*")
-    return live, pub
-
-
-@_query("exact_pairs", """WITH l AS (SELECT DISTINCT stable_key AS l, lower(text) AS t FROM questions WHERE stable_key IS NOT NULL), r AS (SELECT DISTINCT reference_id AS r, lower(question_text) AS t FROM published_questions)
- SELECT DISTINCT l, r FROM l JOIN r USING (t)""")
-def _(spark, d):
-    live = _t(spark, d, "questions").where("stable_key is not null").select("stable_key", F.lower("text").alias("t"))
-    pub = _t(spark, d, "published_questions").select("reference_id", F.lower("question_text").alias("t"))
-    return linkage.exact_pairs(live, pub, id=("stable_key", "reference_id"), on={"t": "t"}).select("l", "r")
-
-
 @_query("answer_bag_pairs", """WITH l AS (SELECT DISTINCT stable_key AS l, list_sort(list_transform(answers, lambda a: a.text)) AS k FROM questions WHERE stable_key IS NOT NULL AND len(answers) > 0),
  r AS (SELECT DISTINCT reference_id AS r, list_sort(published_answers) AS k FROM published_questions WHERE len(published_answers) > 0) SELECT DISTINCT l, r FROM l JOIN r USING (k)""")
 def _(spark, d):
@@ -322,95 +296,6 @@ def _(spark, d):
     return linkage.bag_pairs(live, _t(spark, d, "published_questions"), id=("stable_key", "reference_id"), bag=("a", "published_answers")).select("l", "r")
 
 
-@_query("linked_records")
-def _(spark, d):
-    live, pub = _linked(spark, d)
-    ids = ("id", "reference_id")
-    exact = linkage.variant_pairs(live, pub, id=ids, text="t", variants="v")
-    bags = linkage.bag_pairs(live, pub, id=ids, bag=("a", "a"))
-    fuzzy = linkage.fuzzy_pairs(linkage.gated(live, exact, id="id"), pub, id=ids, text=("t", "t"), cutoff=85.0, k=40)
-    pairs = linkage.union_pairs(exact, bags, fuzzy).join(live.select(F.col("id").alias("l"), F.col("t").alias("tl"), F.col("a").alias("al")), "l").join(pub.select(F.col("reference_id").alias("r"), F.col("t").alias("tr"), F.col("a").alias("ar"), "document_id"), "r")
-    score = sim.indel_ratio("tl", "tr") / 100
-    pairs = pairs.withColumn("score", score).withColumn("answers", sim.assign_greedy("al", "ar"))
-    same = tx.critical_tokens(F.col("tl")) == tx.critical_tokens(F.col("tr"))
-    known = F.coalesce(F.forall("ar", lambda x: F.array_contains("al", x)), F.lit(False))
-    pairs = pairs.withColumn("exact", F.col("tl") == F.col("tr")).withColumn("accepted", same & ((F.col("score") >= 0.97) | (F.col("exact") & known) | ((F.col("score") >= 0.9) & known)))
-    tiers = linkage.accepted_unless_contested(pairs, score="score", content="tr", accepted="accepted", exact="exact", width=0.01)
-    return linkage.record_tiers(*_of_records(live, tiers, "score"), id="id", probable=0.7, score="score").groupBy("tier").agg(F.count("*").alias("records"), F.sum("pairs").alias("pairs"))
-
-
-def _hashes(pictures: str) -> Column:
-    """Hashes of the pictures of a row, sorted; none where it has none."""
-    return F.coalesce(F.array_sort(F.filter(F.transform(pictures, lambda x: x["sha256"]), lambda x: x.isNotNull())), F.array().cast("array<string>"))
-
-
-def _matchable(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Live and published records in the form the matchers take: every distinct content of a live ``record``, every topic of a published row."""
-    answers = lambda c: F.transform(c, lambda a: F.lower(F.trim(a)))
-    q = _t(spark, d, "questions").where("stable_key is not null").select(F.col("stable_key").alias("id"), F.struct(tx.comparison_text(F.col("text")).alias("text"), answers(F.transform("answers", lambda a: a["text"])).alias("answers"),
-                 _hashes("resources").alias("pictures"), F.coalesce(F.exists("answers", lambda a: F.size(a["resources"]) > 0), F.lit(False)).alias("answer_media")).alias("x"))
-    p = _t(spark, d, "published_questions").select(
-        F.col("reference_id").alias("id"),
-        F.struct(tx.comparison_text(F.col("question_text")).alias("text"), answers(F.col("published_answers")).alias("answers"), tx.text_variants(F.col("raw_question_text")).alias("variants"),
-                 (F.size("issues") > 0).alias("incomplete"), F.array_distinct(F.transform("memberships", lambda m: m["topic_title"])).alias("topics"), F.col("document_id").alias("prefix"), F.col("order_no").alias("position"),
-                 _hashes("illustration_refs").alias("pictures"), (F.size("graphic_refs") > 0).alias("graphics")).alias("x"),
-    )
-    one = lambda df: df.groupBy("id").agg(F.min("x").alias("x")).select("id", "x.*")
-    return _contents(q.select(F.col("id").alias("record"), "x.*")), one(p)
-
-
-def _contents(rows: DataFrame) -> DataFrame:
-    """Distinct rows of each ``record`` with an ``id``."""
-    held = rows.distinct()
-    return held.withColumn("id", F.sha2(F.to_json(F.struct(*held.columns)), 256))
-
-
-def _of_records(live: DataFrame, pairs: DataFrame, score: str) -> tuple[DataFrame, DataFrame]:
-    """Records, and the pairs of their contents as pairs of records: the best tier and score of each."""
-    order = F.array(*[F.lit(x) for x in ("exact", "strong", "ambiguous", "candidate")])
-    of = live.select(F.col("id").alias("l"), "record")
-    best = pairs.join(of, "l").groupBy(F.col("record").alias("l"), "r").agg(F.element_at(order, F.min(F.array_position(order, F.col("tier"))).cast("int")).alias("tier"), F.max(score).alias(score))
-    return live.select(F.col("record").alias("id")).distinct(), best
-
-
-def _groups(spark: SparkSession, d: str) -> DataFrame:
-    """Published rows of one document, topic, wording and, where one is needed, picture as a group; text and variants are those of its first row."""
-    p = _t(spark, d, "published_questions").dropDuplicates(["reference_id"])
-    p = scratch.table(p.withColumn("text", tx.comparison_text(F.col("question_text"))), "published")
-    m = F.get("memberships", F.lit(0))
-    text, hashes = F.col("text"), _hashes("illustration_refs")
-    shown = F.when(tx.needs_picture(text, F.transform("published_answers", F.lower)), F.when(F.size(hashes) > 0, F.array_join(hashes, "|")).otherwise("no-image")).otherwise("")
-    # a full list of options is no list of correct answers
-    correct = F.when(F.col("correctness_known") & F.col("published_correct_answer").isNotNull(), F.array("published_correct_answer")).when(F.col("answer_structure") == "published_answer_only", F.col("published_answers")).otherwise(F.array().cast("array<string>"))
-    rows = p.select(
-        F.to_json(F.struct("document_id", m["dimension"].alias("dimension"), m["category"].alias("category"), m["topic_code"].alias("topic"), "text", shown.alias("shown"))).alias("scope"),
-        "reference_id", "order_no", F.transform(correct, lambda a: F.lower(F.trim(a))).alias("answers"), "text", tx.text_variants(F.col("raw_question_text")).alias("variants"), (F.size("issues") > 0).alias("incomplete"), hashes.alias("pictures"), (F.size("graphic_refs") > 0).alias("graphics"),
-    )
-    groups = rollups.reference_groups(rows, key=["scope"], order="order_no", row_id="reference_id", answers="answers", answer_key=F.col("answer"))
-    firsts = rows.groupBy("scope").agg(F.min_by(F.struct("text", "variants", "incomplete"), F.struct("order_no", "reference_id")).alias("x"), F.flatten(F.collect_list("pictures")).alias("pictures"), F.bool_or("graphics").alias("graphics"))
-    return scratch.table(groups.join(firsts, "scope").select(F.col("group_id").alias("id"), "answers", "x.*", "pictures", "graphics"), "groups")
-
-
-@_query("strict_matches")
-def _(spark, d):
-    live, pub = _matchable(spark, d)
-    records, pairs = _of_records(live, matchers.strict_pairs(live, pub), "confidence")
-    return rollups.coverage(matchers.strict_records(records, pairs), tier="tier", usable=["exact", "strong"])
-
-
-@_query("topic_matches")
-def _(spark, d):
-    live, pub = _matchable(spark, d)
-    return matchers.topic_records(live, pub).groupBy("tier", "kind").agg(F.count("*").alias("records"))
-
-
-@_query("grouped_matches")
-def _(spark, d):
-    live, _ = _matchable(spark, d)
-    _, pairs = _of_records(live, matchers.grouped_pairs(live, _groups(spark, d)), "score")
-    return pairs.groupBy("tier").agg(F.count("*").alias("pairs"), F.countDistinct("l").alias("records"))
-
-
 @_query("topic_consensus", """WITH e AS (SELECT source AS l, split_part(topic_code, '.', 1) AS topic, count(DISTINCT document_id) AS prefixes, count(DISTINCT doc_id) AS positions FROM documents WHERE source IS NOT NULL AND topic_code IS NOT NULL GROUP BY 1, 2),
  p AS (SELECT l, count(*) AS topics, count(*) FILTER (prefixes >= 2) AS backed, count(*) FILTER (prefixes = 1 AND positions = 1) AS lone, list(topic ORDER BY -prefixes, -positions, topic) AS t FROM e GROUP BY l)
  SELECT l, CASE WHEN topics = 1 THEN 'single' WHEN backed = 1 AND lone = topics - 1 THEN 'conflict' ELSE 'several' END AS kind, CASE WHEN topics = 1 OR backed = 1 THEN t[1] END AS "primary", array_to_string(t, '|') AS topics FROM p""")

@@ -21,10 +21,20 @@ def dp_lcs(a, b):
     return row[-1]
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text("абвг -1", max_size=60), st.text("абвг -1", max_size=60))
-def test_lcs(a, b):
-    assert similarity.lcs(a, b) == dp_lcs(a, b) == similarity.lcs(b, a)
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text("абвг -1", max_size=140), min_size=1, max_size=6), st.lists(st.text("абвг -1", max_size=140), min_size=1, max_size=6))
+def test_common_subsequences(a, b):
+    want = [[dp_lcs(x, y) for x in a] for y in b]
+    assert similarity.lcs_grid(a, b).tolist() == want
+    pairs = [(x, y) for y in b for x in a]
+    assert similarity.lcs_pairs([x for x, _ in pairs], [y for _, y in pairs]).tolist() == [n for row in want for n in row]
+
+
+def test_common_subsequences_of_long_and_no_texts():
+    x, y = "аб" * 700, "ба" * 650 + "в"
+    assert similarity.lcs_grid([x, ""], [y, "", x]).tolist() == [[dp_lcs(x, y), 0], [0, 0], [1400, 0]]
+    assert similarity.lcs_grid([], ["а"]).shape == (1, 0) and similarity.lcs_pairs([], []).tolist() == []
+    assert similarity.order_score([], []) == 0.0 and similarity.greedy_assignment([], []) == 1.0 and similarity.optimal_assignment([], []) == (0.0, [])
 
 
 @settings(max_examples=60, deadline=None)
@@ -60,6 +70,8 @@ def test_visual_evidence(spark):
     assert [v.kind for v in got] == ["both_absent", "bytes_equal", "presence_changed", "unavailable", "pixels_equal", "visual_comparison", "visual_comparison"]
     assert [v.support for v in got] == [True, True, False, False, True, False, True]
     assert got[5].bits == 62 and got[5].error == 1.0 and got[6].strict
+    wide = spark.createDataFrame([(["a"], ["b"], ("p", 3.0, [1, 1, 1], 0), ("q", 2.0, [0, 0, 1], 0))], f"l array<string>, r array<string>, a {d}, b {d}").select(similarity.visual_evidence(F.col("l"), F.col("r"), F.col("a"), F.col("b")).alias("v")).collect()[0].v
+    assert wide.aspect == 0.5 and wide.error == 0.6667
 
 
 def test_digests_against_json(spark):
@@ -93,6 +105,9 @@ def test_profiles(spark):
     assert _one(spark, text.topic_text, "OT 5 м: Кто?") == "от 5 м: кто"
     assert _one(spark, text.critical_tokens, "не левее 2,5 м, увеличить") == ["не", "левее", "2,5", "увеличить"]
     assert _one(spark, text.wide_tokens, "Без 10% хода 5 м") == ["без", "10", "%", "5", "м"]
+    assert _one(spark, text.words_text, "судно-\u200cбаржа") == "судно баржа" and _one(spark, text.cased_text, "судно-\u200cбаржа") == "судно-\u200cбаржа"
+    listed = spark.createDataFrame([(["«Ёлка».", None, "Пере-\nнос"],), (None,)], "a array<string>").select(text.folded_texts("a").alias("f"), text.words_texts("a").alias("w"), text.topic_texts("a").alias("t")).collect()
+    assert (listed[0].f, listed[0].w, listed[0].t) == (['"елка".', "", "пере- нос"], ["ёлка", "", "перенос"], ['"елка"', "", "пере- нос"]) and listed[1].f is None
     assert _one(spark, text.critical_signature, "нельзя 12 м") == ["critical:нельзя", "number:12 м"]
     for f in (text.folded_text, text.comparison_text, text.words_text, text.topic_text, text.nfc_text, text.answer_key):
         assert _one(spark, f, None) is None and _one(spark, f, "") == ""

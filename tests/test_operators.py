@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from kedge.operators import compare, layout, linkage, quality, rollups
@@ -117,31 +119,36 @@ def test_pairs_and_tiers(spark):
     fuzzy = linkage.fuzzy_pairs(linkage.gated(l, exact, id="l"), r, id=ids, text=("t", "t"), cutoff=85.0, k=3)
     assert rows(fuzzy, "l", "r") == [("l2", "r2")]
     assert rows(linkage.union_pairs(exact, fuzzy, exact), "l", "r", "via") == [("l1", "r1", ["exact"]), ("l2", "r2", ["fuzzy"])]
-    p = spark.createDataFrame([("x", "r1", 1.0, "c1", True, True), ("x", "r2", 1.0, "c2", True, False), ("y", "r1", 0.98, "c1", True, False), ("y", "r2", 0.975, "c2", True, None), ("z", "r1", 0.9, "c1", True, False), ("w", "r1", 0.75, "c1", None, False)], "l string, r string, score double, c string, ok boolean, ex boolean")
-    tiers = linkage.accepted_unless_contested(p, score="score", content="c", accepted="ok", exact="ex", width=0.01)
-    assert rows(tiers, "l", "r", "tier") == [("w", "r1", "candidate"), ("x", "r1", "exact"), ("x", "r2", "strong"), ("y", "r1", "ambiguous"), ("y", "r2", "ambiguous"), ("z", "r1", "strong")]
-    every = spark.createDataFrame([(i,) for i in "wxyzq"], "id string")
-    assert rows(linkage.record_tiers(every, tiers, id="id", probable=0.7, score="score"), "id", "tier") == [("q", "unmatched"), ("w", "probable"), ("x", "exact"), ("y", "ambiguous"), ("z", "strong")]
-    assert rows(linkage.best_band(p, by=["l"], score="score", width=0.005), "l", "r", "in_band")[3:5] == [("y", "r1", True), ("y", "r2", True)]
+    p = spark.createDataFrame([("x", "r1", 1.0), ("x", "r2", 1.0), ("y", "r1", 0.98), ("y", "r2", 0.975), ("w", "r1", 0.75)], "l string, r string, score double")
+    assert rows(linkage.best_band(p, by=["l"], score="score", width=0.005), "l", "r", "in_band")[3:] == [("y", "r1", True), ("y", "r2", True)]
     nested = linkage.nest_pairs(p, by="l", order=[-F.col("score"), F.col("r")], fields=["r", "score"]).where("l = 'y'").collect()[0].candidates
     assert [c.r for c in nested] == ["r1", "r2"]
 
 
-def test_fuzzy_recall_against_all_pairs(spark):
-    from kedge.functions.similarity import indel
+@pytest.mark.parametrize("cutoff", [55.0, 85.0])
+def test_fuzzy_is_all_pairs(spark, cutoff, monkeypatch):
+    from kedge.functions.similarity import indel_ratios
 
+    monkeypatch.setattr(linkage, "LEFT_BLOCK", 7)
+    monkeypatch.setattr(linkage, "RIGHT_BLOCK", 5)
     rng = random.Random(6)
     words = ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(rng.randrange(4, 10))) for _ in range(80)]
-    left = [(f"l{i}", " ".join(rng.sample(words, 9))) for i in range(40)]
-    right = []
-    for i, (_, t) in enumerate(left):
+    left = [(f"l{i}", " ".join(rng.sample(words, rng.choice([1, 3, 9, 9])))) for i in range(40)] + [("none", None), ("empty", "")]
+    right = [("none", None), ("empty", "")]
+    for i, (_, t) in enumerate(left[:40]):
         w = t.split()
-        w[rng.randrange(9)] = rng.choice(words)
+        w[rng.randrange(len(w))] = rng.choice(words)
         right.append((f"r{i}", " ".join(w)))
-    want = {(a, b) for a, x in left for b, y in right if indel(x, y) >= 85}
-    got = linkage.fuzzy_pairs(spark.createDataFrame(left, "l string, t string"), spark.createDataFrame(right, "r string, t string"), id=("l", "r"), text=("t", "t"), cutoff=85.0, k=40)
-    found = {(x.l, x.r) for x in got.collect()}
-    assert found <= want and len(found) >= 0.9 * len(want) > 10
+    right.append(("copy", right[5][1]))
+    pairs = [(a, x, b, y) for a, x in left for b, y in right if x and y]
+    ratio = dict(zip([(a, b) for a, _, b, _ in pairs], indel_ratios([p[1] for p in pairs], [p[3] for p in pairs]).tolist()))
+    want = set()
+    for a, _ in left[:40]:
+        best = sorted({(-ratio[a, b], y) for b, y in right if y and ratio[a, b] >= cutoff})[:3]
+        want |= {(a, b, round(ratio[a, b], 6)) for b, y in right if y and (-ratio[a, b], y) in best}
+    got = linkage.fuzzy_pairs(spark.createDataFrame(left, "l string, t string"), spark.createDataFrame(right, "r string, t string"), id=("l", "r"), text=("t", "t"), cutoff=cutoff, k=3)
+    assert {(x.l, x.r, round(x.ratio, 6)) for x in got.collect()} == want and len(want) > 20
+    assert linkage.fuzzy_pairs(got.limit(0).select("l", F.col("via").alias("t")), got.select("r", F.col("via").alias("t")), id=("l", "r"), text=("t", "t"), cutoff=cutoff, k=3).count() == 0
 
 
 def test_fuzzy_ranks_texts_not_copies(spark):
@@ -160,6 +167,15 @@ def test_rollups(spark):
     p = spark.createDataFrame([("d", "q", 2, "d:2", ["Да ", "нет"]), ("d", "q", 1, "d:1", ["да"]), ("d", None, 3, "d:3", None)], "doc string, q string, n int, id string, a array<string>")
     g = rollups.reference_groups(p, key=["doc", "q"], order="n", row_id="id", answers="a", answer_key=F.lower(F.trim("answer")))
     assert rows(g, "q", "rows", "row_ids", "answers", "answer_rows") == sorted([("q", 2, ["d:1", "d:2"], ["да", "нет"], 3), (None, 1, ["d:3"], [], 0)], key=str)
+    rows_ = [("d:2", 2, "Какой знак?", ["да"], True, "Да", "full_options", ["h2"]), ("d:1", 1, "Какой знак", ["да", "Нет"], False, None, "published_answer_only", ["h1"]), ("d:3", 3, "Что на рисунке", [], False, None, "unknown", []), ("d:4", 4, None, None, None, None, None, [])]
+    q = spark.createDataFrame([(i, "d", "dim", "cat", None, t, t, a, k, c, s, p, False, False, False, n) for i, n, t, a, k, c, s, p in rows_], "id string, document_id string, dimension string, category string, topic_code string, question_text string, raw_question_text string, published_answers array<string>, correctness_known boolean, published_correct_answer string, answer_structure string, pictures array<string>, graphics boolean, masked boolean, incomplete boolean, position bigint")
+    groups, members = rollups.question_groups(q)
+    assert rows(groups, "text", "rows", "answers", "pictures", "needs_picture") == [("", 1, [], [], False), ("Какой знак", 2, ["да", "Нет"], ["h1", "h2"], False), ("Что на рисунке", 1, [], [], True)]
+    import hashlib
+    import json
+
+    want = "group:" + hashlib.sha256(json.dumps(["d", "dim", "cat", "", "Что на рисунке", ["no-image"]], ensure_ascii=False, separators=(",", ":")).encode()).hexdigest()[:24]
+    assert want in {r.group_id for r in members.collect()} and members.count() == 4 and rollups.question_groups(q.limit(0))[0].count() == 0
     t = spark.createDataFrame([("Огни",), ("огни",), ("Огни",), ("ОГНИ",), (None,)], "t string")
     assert rows(rollups.canonical_titles(t, title="t", key=F.lower("t")), "title", "spellings", "rows") == [("Огни", 3, 4)]
     c = spark.createDataFrame([("1.2.3",), ("1.2",), ("4",), (None,)], "c string")
