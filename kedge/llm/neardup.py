@@ -6,7 +6,8 @@ bands of ``ROWS`` minima; the number of bands follows from the recall wanted at
 threshold. Classes that share a band hash are candidates; they carry a 128-bit sketch
 (one bit of further minima each) through the shuffle, so pairs that can't reach the
 threshold are dropped inside the join and never become rows. What is left is verified
-on the full sets. No bucket is capped and nothing is collected to the driver.
+on the full sets. No bucket is capped and nothing is collected to the driver; a bucket
+with very many classes, and a class with very many copies, is met in cells (``split``).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kedge import scratch
+from kedge.llm import split
 from kedge.llm.canonical import canonical
 
 #: Minima per band. More make chance candidates rarer, and more bands necessary.
@@ -52,7 +54,7 @@ def agreement(threshold: float) -> int:
 
 
 def record_sets(df: DataFrame, *, id: str, text: str, n: int = 1, tokens: Callable[[str], list[str]] = words) -> DataFrame:
-    """``id, key, grams``: distinct hashed ``n``-grams of words of each record, sorted, and their hash.
+    """``id, digest, grams``: distinct hashed ``n``-grams of words of each record, sorted, and their 128-bit digest.
 
     A text shorter than ``n`` words is one gram of all its words. Records with a null
     id or without a word are left out: they resemble nothing. Texts of any length are
@@ -79,13 +81,13 @@ def record_sets(df: DataFrame, *, id: str, text: str, n: int = 1, tokens: Callab
                     mine.add(h)
                 row = np.array(sorted(mine), dtype=np.int32)
                 grams.append(row)
-                keys.append(xxhash.xxh64_intdigest(row.tobytes()) - (1 << 63))
+                keys.append(xxhash.xxh3_128_digest(row.tobytes()))
                 at.append(i)
             offsets = np.cumsum([0, *map(len, grams)], dtype=np.int32)
             flat = np.concatenate(grams) if grams else np.zeros(0, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "key", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["id", "digest", "grams"])
 
-    schema = T.StructType([T.StructField("id", df.schema[id].dataType), T.StructField("key", T.LongType()), T.StructField("grams", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField("id", df.schema[id].dataType), T.StructField("digest", T.BinaryType()), T.StructField("grams", T.ArrayType(T.IntegerType()))])
     return df.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).where("id is not null and text is not null").mapInArrow(run, schema)
 
 
@@ -134,8 +136,13 @@ def _signatures(count: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], I
 
 
 def class_sets(records: DataFrame) -> DataFrame:
-    """``key, grams`` of the distinct sets of ``record_sets``, written once to the shared folder."""
-    return scratch.table(records.select("key", "grams").dropDuplicates(["key"]), "sets")
+    """``key, digest, grams`` of the distinct sets of ``record_sets``, written once to the shared folder, which fixes their numbers."""
+    return scratch.table(records.select("digest", "grams").dropDuplicates(["digest"]).withColumn("key", F.monotonically_increasing_id()), "sets")
+
+
+def class_members(records: DataFrame, sets: DataFrame) -> DataFrame:
+    """``id, key`` of every record and its class, each once."""
+    return records.select("id", "digest").distinct().join(sets.select("digest", "key"), "digest").select("id", "key")
 
 
 def similar_classes(sets: DataFrame, *, threshold: float, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
@@ -148,12 +155,11 @@ def similar_classes(sets: DataFrame, *, threshold: float, recall: float = RECALL
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be over 0 and at most 1")
     count = bands(threshold, recall, rows)
-    signed = sets.mapInArrow(_signatures(count, rows), "key bigint, s1 bigint, s2 bigint, bands array<bigint>")
-    spread = signed.select("key", "s1", "s2", F.explode("bands").alias("band"))
-    a, b = spread.alias("a"), spread.alias("b")
+    signed = scratch.table(sets.select("key", "grams").mapInArrow(_signatures(count, rows), "key bigint, s1 bigint, s2 bigint, bands array<bigint>"), "signed")
+    a, b, meet = split.self_join(signed.select("key", "s1", "s2", F.explode("bands").alias("band")), key="band", by="key")
     differ = BITS - agreement(threshold)
     near = F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1"))) + F.bit_count(F.col("a.s2").bitwiseXOR(F.col("b.s2"))) <= differ
-    found = a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.key") < F.col("b.key")) & near).select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
+    found = a.join(b, meet & (F.col("a.key") < F.col("b.key")) & near).select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()
     left = sets.select(F.col("key").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("key").alias("b"), F.col("grams").alias("gb"))
     full = found.join(left, "a").join(right, "b")
@@ -180,6 +186,7 @@ def components(links: DataFrame, *, nodes: DataFrame) -> DataFrame:
         new = scratch.table(small, "edges")
         if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
             break
+        scratch.release(edges)
         edges = new
     roots = new.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("root"))
     return nodes.select("key").join(roots, "key", "left").select("key", F.coalesce("root", "key").alias("root"))
@@ -192,13 +199,17 @@ def near_duplicate_pairs(df: DataFrame, *, id: str, text: str, threshold: float
     same links without expanding copies. A repeated id counts once.
     """
     records = scratch.table(record_sets(df, id=id, text=text, n=n), "records")
-    members = records.select("id", "key").distinct()
-    links = similar_classes(class_sets(records), threshold=threshold, recall=recall, rows=rows).select("a", "b")
-    a, b = members.select(F.col("key").alias("a"), F.col("id").alias("x")), members.select(F.col("key").alias("b"), F.col("id").alias("y"))
-    across = links.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    sets = class_sets(records)
+    members = scratch.table(class_members(records, sets), "members")
+    links = scratch.table(similar_classes(sets, threshold=threshold, recall=recall, rows=rows).select("a", "b"), "links")
+    # either side's copies may be very many
+    first = split.join(links.withColumnRenamed("a", "key"), members.select("key", F.col("id").alias("x")), key="key", by=("b", "x")).select(F.col("b").alias("key"), "x")
+    first = scratch.table(first, "first")
+    across = split.join(first, members.select("key", F.col("id").alias("y")), key="key", by=("x", "y")).where("x <> y")
+    across = across.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     copied = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
-    twins = members.join(copied, "key", "left_semi")
-    within = twins.select("key", F.col("id").alias("id_a")).join(twins.select("key", F.col("id").alias("id_b")), "key").where("id_a < id_b").select("id_a", "id_b")
+    a, b, meet = split.self_join(members.join(copied, "key", "left_semi"), key="key", by="id")
+    within = a.join(b, meet & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
     return across.unionByName(within).distinct()
 
 
@@ -209,8 +220,8 @@ def near_duplicate_groups(df: DataFrame, *, id: str, text: str, threshold: float
     Ids without a word form groups of their own.
     """
     records = scratch.table(record_sets(df, id=id, text=text, n=n), "records")
-    members = records.select("id", "key").distinct()
     sets = class_sets(records)
+    members = scratch.table(class_members(records, sets), "members")
     links = scratch.table(similar_classes(sets, threshold=threshold, recall=recall, rows=rows).select("a", "b"), "links")
     roots = components(links, nodes=sets)
     counted = links.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("links"))

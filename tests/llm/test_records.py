@@ -35,6 +35,30 @@ def test_pairs_against_brute_force(spark):
     assert len(got) >= 0.98 * len(want) and len(want) > 50
 
 
+def test_hot_buckets_and_copies(spark, monkeypatch):
+    """One text, its copies and its near copies hold over a third of all rows; keys are split from five rows on."""
+    from kedge.llm import split
+
+    rows = _texts(7, 40)
+    base = rows[0][1].split()
+    rows += [(f"hot{i:02}", " ".join(base)) for i in range(20)] + [(f"near{i:02}", " ".join([*base[:-2], f"а{i}", f"б{i}"])) for i in range(20)]
+    df = spark.createDataFrame(rows, "id string, text string")
+    plain = sorted(map(tuple, neardup.near_duplicate_pairs(df, id="id", text="text", threshold=0.6, n=1).collect()))
+    groups = sorted(map(tuple, neardup.near_duplicate_groups(df, id="id", text="text", threshold=0.6, n=1).collect()))
+    monkeypatch.setattr(split, "MOST", 5)
+    for most in (split.BROADCAST_KEYS, 0):
+        monkeypatch.setattr(split, "BROADCAST_KEYS", most)
+        assert sorted(map(tuple, neardup.near_duplicate_pairs(df, id="id", text="text", threshold=0.6, n=1).collect())) == plain
+    assert sorted(map(tuple, neardup.near_duplicate_groups(df, id="id", text="text", threshold=0.6, n=1).collect())) == groups
+    sets = {i: {*neardup.words(t)} for i, t in rows}
+    want = [p for p in combinations(sorted(sets), 2) if len(sets[p[0]] & sets[p[1]]) / len(sets[p[0]] | sets[p[1]]) >= 0.6]
+    assert {*plain} <= {*want} and len(plain) >= 0.98 * len(want) and len(want) > 700
+    l = spark.createDataFrame([(i % 3, i) for i in range(30)], "k int, a int")
+    r = spark.createDataFrame([(1, i) for i in range(30)] + [(2, 99)], "k int, b int")
+    got = sorted(map(tuple, split.join(l, r, key="k", by=("a", "b")).collect()))
+    assert got == sorted((k, a, b) for k, a in ((i % 3, i) for i in range(30)) for j, b in [(1, i) for i in range(30)] + [(2, 99)] if j == k)
+
+
 def test_groups_and_shingles(spark):
     words = [f"w{i}" for i in range(60)]
     a, b, c = " ".join(words), " ".join(words[:-1] + ["other"]), " ".join(words[:-1] + ["more"])
