@@ -3,10 +3,12 @@
 Documents are aggregated by membership pattern, the set of target sources they belong
 to. A min-cost flow routes token capacity from the patterns to the quotas of the
 sources: the k-th use of a pattern is a level of its own whose cost grows with k, so
-nothing is repeated while something unused will do. The flow sees one node per pattern
-and level, never a document. Documents are then selected in a seeded order, by their
-position in the running sum of tokens of their pattern; the sum is taken over hash
-buckets, so only buckets that a boundary cuts are sorted.
+nothing is repeated while something unused will do. Cost lies on the levels only and
+grows with them, so filling level after level by largest flows, each on top of the one
+before, is the cheapest: no later path takes back what a cheaper level gave. The flow
+sees one node per pattern and level, never a document. Documents are then selected in a
+seeded order, by their position in the running sum of tokens of their pattern; the sum is
+taken over hash buckets, as many of a pattern as it has of all rows, so only buckets that a boundary cuts are sorted.
 """
 
 from __future__ import annotations
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 
 from kedge import scratch
 
-#: Hash buckets of the seeded order, per pattern.
-BUCKETS = 4096
+#: Hash buckets of the seeded order, over all patterns; every pattern has one at least.
+BUCKETS = 1 << 17
 #: Most rows of targets and most membership patterns the driver handles; more is an error.
-MAX_TARGETS, MAX_PATTERNS = 1000, 256
+MAX_TARGETS, MAX_PATTERNS = 1000, 50_000
+#: Most rows of bucket positions that are broadcast.
+BROADCAST_BUCKETS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -34,68 +38,84 @@ class Target:
 
 
 class _Flow:
-    """Min-cost flow by successive shortest paths, on integer capacities."""
+    """Largest flow by shortest paths in layers, on integer capacities."""
 
     def __init__(self, n: int):
         self.out: list[list[int]] = [[] for _ in range(n)]
         self.to: list[int] = []
         self.cap: list[int] = []
-        self.cost: list[int] = []
 
-    def edge(self, a: int, b: int, cap: int, cost: int) -> int:
-        for x, y, c, w in ((a, b, cap, cost), (b, a, 0, -cost)):
+    def edge(self, a: int, b: int, cap: int) -> int:
+        for x, y, c in ((a, b, cap), (b, a, 0)):
             self.out[x].append(len(self.to))
             self.to.append(y)
             self.cap.append(c)
-            self.cost.append(w)
         return len(self.to) - 2
 
     def run(self, source: int, sink: int) -> int:
         total = 0
         while True:
-            dist, via = {source: 0}, {}
-            queue, queued = deque([source]), {source}
+            depth, queue = {source: 0}, deque([source])
             while queue:
                 x = queue.popleft()
-                queued.discard(x)
                 for e in self.out[x]:
-                    y = self.to[e]
-                    if self.cap[e] and dist[x] + self.cost[e] < dist.get(y, 1 << 60):
-                        dist[y], via[y] = dist[x] + self.cost[e], e
-                        if y not in queued:
-                            queued.add(y)
-                            queue.append(y)
-            if sink not in dist:
+                    if self.cap[e] and self.to[e] not in depth:
+                        depth[self.to[e]] = depth[x] + 1
+                        queue.append(self.to[e])
+            if sink not in depth:
                 return total
-            push, x = 1 << 62, sink
-            while x != source:
-                push, x = min(push, self.cap[via[x]]), self.to[via[x] ^ 1]
-            x = sink
-            while x != source:
-                self.cap[via[x]] -= push
-                self.cap[via[x] ^ 1] += push
-                x = self.to[via[x] ^ 1]
-            total += push
+            at = dict.fromkeys(depth, 0)
+            path: list[int] = []
+            x = source
+            while True:
+                if x == sink:
+                    push = min(self.cap[e] for e in path)
+                    for e in path:
+                        self.cap[e] -= push
+                        self.cap[e ^ 1] += push
+                    total += push
+                    full = next(i for i, e in enumerate(path) if not self.cap[e])
+                    x = self.to[path[full] ^ 1]
+                    del path[full:]
+                    continue
+                edges = self.out[x]
+                while at[x] < len(edges) and not (self.cap[edges[at[x]]] and depth.get(self.to[edges[at[x]]], -1) == depth[x] + 1):
+                    at[x] += 1
+                if at[x] < len(edges):
+                    path.append(edges[at[x]])
+                    x = self.to[edges[at[x]]]
+                elif path:
+                    x = self.to[path.pop() ^ 1]
+                    at[x] += 1
+                else:
+                    break
 
 
 def route(capacity: dict[tuple[str, ...], int], targets: list[Target], quota: dict[str, int]) -> dict[tuple[tuple[str, ...], int, str], int]:
     """Tokens of (pattern, level, source); level k is the k-th use of a document."""
     patterns = [p for p in sorted(capacity) if capacity[p] > 0]
     by = {t.source: t for t in targets}
-    levels = [(p, k) for p in patterns for k in range(1, max(by[s].repeats for s in p) + 1)]
-    node = {x: i + 1 for i, x in enumerate(levels)}
-    place = {t.source: len(levels) + 1 + i for i, t in enumerate(targets)}
-    sink = len(levels) + len(targets) + 1
+    most = {p: max(by[s].repeats for s in p) for p in patterns}
+    place = {t.source: i + 1 for i, t in enumerate(targets)}
+    sink = len(targets) + 1
     flow = _Flow(sink + 1)
-    used = {}
-    for p, k in levels:
-        flow.edge(0, node[p, k], capacity[p], (k - 1) * (k - 1))
-        for s in p:
-            if k <= by[s].repeats:
-                used[p, k, s] = flow.edge(node[p, k], place[s], capacity[p], 0)
     for t in targets:
-        flow.edge(place[t.source], sink, quota[t.source], 0)
-    flow.run(0, sink)
+        flow.edge(place[t.source], sink, quota[t.source])
+    used: dict[tuple[tuple[str, ...], int, str], int] = {}
+    left = sum(quota.values())
+    for k in range(1, max(most.values(), default=0) + 1):
+        if left <= 0:
+            break
+        for p in patterns:
+            if k > most[p]:
+                continue
+            flow.out.append([])
+            node = len(flow.out) - 1
+            flow.edge(0, node, capacity[p])
+            for s in p:
+                if k <= by[s].repeats:
+                    used[p, k, s] = flow.edge(node, place[s], capacity[p])
+        left -= flow.run(0, sink)
     return {x: flow.cap[e ^ 1] for x, e in used.items() if flow.cap[e ^ 1]}
 
 
@@ -141,11 +161,13 @@ def mix(docs: DataFrame, targets: DataFrame, *, id: str, sources: str, tokens: s
     names = F.array(*[F.lit(t.source) for t in wanted if t.repeats > 0]).cast("array<string>")
     base = docs.select(F.col(id).alias("id"), F.array_sort(F.array_distinct(F.array_intersect(F.col(sources), names))).alias("pattern"), F.col(tokens).cast("bigint").alias("tokens"))
     base = base.where("id is not null and size(pattern) > 0 and tokens > 0").withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit(seed)))
-    base = scratch.table(base.withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int")), "sizes")
-
-    kinds = base.select("pattern").distinct().limit(MAX_PATTERNS + 1).collect()
+    base = scratch.table(base, "sizes")
+    kinds = base.groupBy("pattern").agg(F.count("*").alias("rows")).limit(MAX_PATTERNS + 1).collect()
     if len(kinds) > MAX_PATTERNS:
         raise ValueError("more membership patterns than MAX_PATTERNS")
+    every = sum(r["rows"] for r in kinds)
+    cut_into = spark.createDataFrame([(r["pattern"], max(1, round(BUCKETS * r["rows"] / every))) for r in kinds], "pattern array<string>, buckets int")
+    base = base.join(F.broadcast(cut_into), "pattern").withColumn("bucket", F.pmod("h", F.col("buckets")).cast("int")).drop("buckets")  # at most MAX_PATTERNS rows
     sums = base.groupBy("pattern", "bucket").agg(F.sum("tokens").alias("n")).toPandas()
     sums["pattern"] = sums["pattern"].map(tuple)
     sums = sums.sort_values(["pattern", "bucket"])
@@ -171,7 +193,7 @@ def mix(docs: DataFrame, targets: DataFrame, *, id: str, sources: str, tokens: s
         placed.append((list(r.pattern), int(r.bucket), start, any(start < x < r.end for x in cuts.get(r.pattern, ())), int(r.end)))
     where = spark.createDataFrame(placed, "pattern array<string>, bucket int, start bigint, cut boolean, stop bigint")
     bounds = spark.createDataFrame([(list(p), v) for p, v in spans.items()], "pattern array<string>, spans array<struct<level:int,source:string,lo:bigint,hi:bigint>>")
-    if len(placed) <= MAX_PATTERNS * 64:
+    if len(placed) <= BROADCAST_BUCKETS:
         where = F.broadcast(where)
     at_bucket = base.join(where, ["pattern", "bucket"])
     within = Window.partitionBy("pattern", "bucket").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)

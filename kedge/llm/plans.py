@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kedge import scratch
+from kedge.llm import split
 from kedge.llm.canonical import canonical_text, irregular
 from kedge.llm.garbled import find_garbled
-from kedge.llm.matching import confidence, content_id, contents, match
+from kedge.llm.matching import contents, match
 from kedge.llm.mixing import mix
 from kedge.llm.neardup import near_duplicate_groups, near_duplicate_pairs
 from kedge.llm.tokens import count_tokens, encode
@@ -38,12 +39,15 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
 
 def _p4_pairs(spark: SparkSession, d: str) -> DataFrame:
     """(reference_id, stable_key, confidence) of every published row and live question that ask the same."""
-    published = _read(spark, d, "published_questions").where("reference_id is not null").select("reference_id", "question_text", "published_answers")
-    live = _read(spark, d, "questions").where("stable_key is not null").select("stable_key", "text", F.transform("answers", lambda a: a["text"]).alias("answers"))
-    found = confidence(match(contents(published, main="question_text", phrases="published_answers", name="left"), contents(live, main="text", phrases="answers", name="right")))
-    left = published.select(content_id("question_text", "published_answers").alias("l"), "reference_id").distinct()
-    right = live.select(content_id("text", "answers").alias("r"), "stable_key").distinct()
-    return found.join(left, "l").join(right, "r").groupBy("reference_id", "stable_key").agg(F.max("confidence").alias("confidence"))
+    published = _read(spark, d, "published_questions").select("reference_id", "question_text", "published_answers")
+    live = _read(spark, d, "questions").select("stable_key", "text", F.transform("answers", lambda a: a["text"]).alias("answers"))
+    left, of_left = contents(published, id="reference_id", main="question_text", phrases="published_answers", name="left")
+    right, of_right = contents(live, id="stable_key", main="text", phrases="answers", name="right")
+    found = match(left, right).select(F.col("l").alias("key"), "r", "confidence")
+    # a content may be that of very many rows
+    named = split.join(found, of_left.withColumnRenamed("content", "key"), key="key", by=("r", "reference_id")).select(F.col("r").alias("key"), "reference_id", "confidence")
+    both = split.join(named, of_right.withColumnRenamed("content", "key"), key="key", by=("reference_id", "stable_key"))
+    return both.groupBy("reference_id", "stable_key").agg(F.max("confidence").alias("confidence"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -99,6 +103,15 @@ def p7_shares(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def p7_overlap(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of a mixture of distinct texts, each of which belongs to every source it occurs in."""
+    docs = _read(spark, d, "documents").where("source is not null and text is not null")
+    held = docs.groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_set("source")).alias("sources"))
+    texts = docs.select("doc_id", "text").join(held, "doc_id")
+    sized = count_tokens(texts, text="text", keep=["doc_id", "sources"])
+    return mix(sized, _read(spark, d, "mix_targets"), id="doc_id", sources="sources", tokens="tokens", total="shares")[1]
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return find_garbled(_read(spark, d, "documents"), id="doc_id", text="text").select("doc_id")
 
@@ -114,7 +127,7 @@ def queries() -> dict:
         "p4_found": p4_found, "p4_matches": p4_matches,
         "p5_found": p5_found, "p5_canonical": p5_canonical,
         "p6_ids": p6_ids, "p6_counts": p6_counts,
-        "p7_mix": p7_mix, "p7_shares": p7_shares,
+        "p7_mix": p7_mix, "p7_shares": p7_shares, "p7_overlap": p7_overlap,
         "p8_found": p8_found, "p8_restored": p8_restored,
     }
 

@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from kedge.llm import matching, mixing, neardup
@@ -103,48 +104,65 @@ PUBLISHED = [
 def test_matching_cases(spark):
     live = spark.createDataFrame(LIVE, "stable_key string, text string, answers array<string>")
     pub = spark.createDataFrame([p[:3] for p in PUBLISHED], "reference_id string, q string, a array<string>")
-    found = matching.confidence(matching.match(matching.contents(pub, main="q", phrases="a", name="l"), matching.contents(live, main="text", phrases="answers", name="r")))
-    left = pub.select(matching.content_id("q", "a").alias("l"), "reference_id")
-    right = live.select(matching.content_id("text", "answers").alias("r"), "stable_key")
-    rows = found.join(left, "l").join(right, "r").collect()
+    left, of_left = matching.contents(pub, id="reference_id", main="q", phrases="a", name="l")
+    right, of_right = matching.contents(live, id="stable_key", main="text", phrases="answers", name="r")
+    rows = matching.match(left, right).join(of_left.withColumnRenamed("content", "l"), "l").join(of_right.withColumnRenamed("content", "r"), "r").collect()
     got = {}
     for r in rows:
         got.setdefault(r.reference_id, set()).add(r.stable_key)
     assert {p[0]: got.get(p[0], set()) for p in PUBLISHED} == {p[0]: p[3] for p in PUBLISHED}
     assert all(0 < r.confidence < 1 for r in rows)
-    none = matching.match(matching.contents(pub.limit(0), main="q", phrases="a", name="l"), matching.contents(live, main="text", phrases="answers", name="r"))
-    assert none.count() == 0
+    none, _ = matching.contents(pub.limit(0), id="reference_id", main="q", phrases="a", name="l")
+    assert matching.match(none, right).count() == 0 and matching.match(left, right.limit(0)).count() == 0
 
 
-def test_candidates_lose_no_pair(spark):
-    """All pairs within the bounds, by brute force over the terms."""
+@pytest.mark.parametrize("far", [False, True])
+def test_retrieval_is_exact(spark, far, monkeypatch):
+    """Scores, bounds and nearness by brute force over the terms; then with long lists split, many numbers and weights joined by shuffle."""
     import math
 
+    from kedge.llm import split
+
+    if far:
+        monkeypatch.setattr(split, "MOST", 4)
+        monkeypatch.setattr(matching, "BROADCAST_TERMS", 0)
+        monkeypatch.setattr(matching, "PAIRED", 2)
     rng = random.Random(4)
-    words = [f"с{i}" for i in range(60)]
-    live = [(f"k{i}", " ".join(rng.sample(words, 12)), []) for i in range(60)]
-    pub = []
+    words = [f"с{c}" for c in "абвгдежзиклмнопрстуфхцчшщэюя"]
+    live, pub = [], []
     for i in range(60):
-        w = live[i][1].split()
-        for _ in range(rng.randrange(8)):
+        w = rng.sample(words, 12)
+        live.append((f"k{i}", " ".join(w) + f" 7 {i % 2} {i % 3 + 4}", [" ".join(w[:2])] if i % 5 == 0 else []))
+        for _ in range(rng.randrange(5)):
             w[rng.randrange(12)] = rng.choice(words)
-        pub.append((f"p{i}", " ".join(w), []))
-    l = matching.contents(spark.createDataFrame(pub, "id string, t string, a array<string>"), main="t", phrases="a", name="l").cache()
-    r = matching.contents(spark.createDataFrame(live, "id string, t string, a array<string>"), main="t", phrases="a", name="r").cache()
+        pub.append((f"p{i}", " ".join(w) + rng.choice(["", " 7", f" 7 {i % 2}", f" 7 {i % 2} {i % 3 + 4}"]), []))
+    l, _ = matching.contents(spark.createDataFrame(pub, "id string, t string, a array<string>"), id="id", main="t", phrases="a", name="l")
+    r, _ = matching.contents(spark.createDataFrame(live, "id string, t string, a array<string>"), id="id", main="t", phrases="a", name="r")
     lr, rr = l.collect(), r.collect()
     df = {}
     for x in rr:
         for t in x.terms:
             df[t] = df.get(t, 0) + 1
+    mean = sum(x.size for x in rr) / len(rr)
     idf = lambda t: math.log1p((len(rr) - df.get(t, 0) + 0.5) / (df.get(t, 0) + 0.5))
-    want = set()
+    impact = lambda x: {t: idf(t) * f * (matching.K1 + 1) / (f + matching.K1 * (1 - matching.B + matching.B * x.size / mean)) for t, f in zip(x.terms, x.freq)}
+    score, own = {}, {}
     for x in lr:
         for y in rr:
-            common = sum(map(idf, {*x.terms} & {*y.terms}))
-            if common and {*x.nums} <= {*y.nums} and common >= matching.LEFT_SHARE * sum(map(idf, x.terms)) and common >= matching.RIGHT_SHARE * sum(map(idf, y.terms)):
-                want.add((x.id, y.id))
-    got = {(c.l, c.r) for c in matching.candidates(l, r).collect()}
-    assert want and want <= got
+            mine, other = impact(x), impact(y)
+            own["l", x.id], own["r", y.id] = sum(mine.values()), sum(other.values())
+            common = sum(w for t, w in other.items() if t in mine)
+            if common and {*x.nums} <= {*y.nums}:
+                score[x.id, y.id] = common
+    want = {k for k, v in score.items() if v >= matching.LEFT_SHARE * own["l", k[0]] and v >= matching.RIGHT_SHARE * own["r", k[1]]}
+    got = {(c.l, c.r): c for c in matching.retrieve(l, r).collect()}
+    assert len(want) > 40 and want <= {*got}
+    for k, c in got.items():
+        assert abs(c.score - score[k]) < 1e-3 and abs(c.forward - score[k] / own["l", k[0]]) < 1e-3
+    best_l, best_r = {}, {}
+    for k in got:
+        best_l[k[0]], best_r[k[1]] = max(best_l.get(k[0], 0), score[k]), max(best_r.get(k[1], 0), score[k])
+    assert {k for k, c in got.items() if c.near} == {k for k in want if score[k] >= matching.NEAR * best_l[k[0]] and score[k] >= matching.NEAR * best_r[k[1]]}
 
 
 DOCS = "id bigint, sources array<string>, tokens bigint"
@@ -174,6 +192,43 @@ def test_mix_overlap_and_shortfall(spark):
     assert short["a"] + short["b"] == 150 * 10 + 100 * 10 and short["none"] == 0
 
 
+def test_mix_many_patterns(spark):
+    """Twelve sources that overlap in some thousand ways: every share is met, by documents used once."""
+    rng = random.Random(5)
+    names = [f"s{i:02}" for i in range(12)]
+    rows = [(i, rng.sample(names, rng.randrange(1, 7)), rng.randrange(1, 40)) for i in range(4000)]
+    t = spark.createDataFrame([(n, 1 / 12, 2) for n in names], TARGETS)
+    patterns = {tuple(sorted(p)) for _, p, _ in rows}
+    assert len(patterns) > 1000
+    uses, shares = mixing.mix(spark.createDataFrame(rows, DOCS), t, id="id", sources="sources", tokens="tokens", total=60_000)
+    assert all(abs(r.actual_share - 1 / 12) < 0.01 for r in shares.collect())
+    assert uses.groupBy("id").agg(F.sum("uses").alias("n")).where("n > 1").count() < 0.2 * len(patterns)
+
+
+def test_flow_is_cheapest():
+    """Level by level against brute force over all ways to give whole tokens."""
+    from itertools import product
+
+    rng = random.Random(8)
+    for _ in range(30):
+        targets = [mixing.Target(s, 0.5, rng.randrange(1, 4)) for s in "ab"]
+        capacity = {("a",): rng.randrange(3), ("b",): rng.randrange(3), ("a", "b"): rng.randrange(3)}
+        quota = {"a": rng.randrange(5), "b": rng.randrange(5)}
+        got = mixing.route(capacity, targets, quota)
+        by = {t.source: t.repeats for t in targets}
+        cells = [(p, k, s) for p in capacity for k in range(1, 4) for s in p if k <= by[s]]
+        best = (0, 0)
+        for give in product(range(3), repeat=len(cells)):
+            use = dict(zip(cells, give))
+            if any(sum(use.get((p, k, s), 0) for s in p) > capacity[p] for p in capacity for k in range(1, 4)) or any(sum(v for c, v in use.items() if c[2] == s) > quota[s] for s in "ab"):
+                continue
+            best = min(best, (-sum(give), sum(v * (c[1] - 1) ** 2 for c, v in use.items())))
+            if len(cells) > 8:
+                break
+        total, cost = sum(got.values()), sum(v * (k - 1) ** 2 for (_, k, _), v in got.items())
+        assert len(cells) > 8 or (-total, cost) == best
+
+
 def test_mix_empty(spark):
     t = spark.createDataFrame([("a", 1.0, 1)], TARGETS)
     uses, shares = mixing.mix(spark.createDataFrame([], DOCS), t, id="id", sources="sources", tokens="tokens")
