@@ -30,20 +30,25 @@ GREEK_ALIKE = {
     "Α": "А", "Β": "В", "Ε": "Е", "Η": "Н", "Κ": "К", "Μ": "М", "Ν": "Н", "Ο": "О", "Ρ": "Р", "Τ": "Т", "Υ": "У", "Χ": "Х", "Ϲ": "С",
     "α": "а", "β": "в", "ε": "е", "η": "н", "κ": "к", "μ": "м", "ν": "н", "ο": "о", "ρ": "р", "τ": "т", "υ": "у", "χ": "х", "ϲ": "с",
 }
-#: Marks that look like an ASCII one and have no decomposition.
-MARK_ALIKE = {"‐": "-", "‑": "-", "−": "-", "ʼ": "'", "׳": "'", "∕": "/", "∶": ":", "ꞏ": "·"}
+#: Small capitals, Armenian letters and others that look like a Cyrillic one.
+OTHER_ALIKE = {"ɑ": "а", "ʙ": "в", "ʜ": "н", "ᴀ": "а", "ᴄ": "с", "ᴇ": "е", "ᴋ": "к", "ᴍ": "м", "ᴏ": "о", "ᴛ": "т", "ᴦ": "г", "ᴨ": "п", "ᴫ": "л", "օ": "о", "Օ": "О"}
+#: Cyrillic letters that Russian lacks and that look like a Latin one.
+CYRILLIC_ALIKE = {"І": "I", "і": "i", "Ѕ": "S", "ѕ": "s", "Ј": "J", "ј": "j", "Ӏ": "I", "ӏ": "l", "ԁ": "d", "Ԛ": "Q", "ԛ": "q", "Ԝ": "W", "ԝ": "w", "һ": "h"}
+#: Marks that look like an ASCII one (or a dash) and have no decomposition.
+MARK_ALIKE = {"‐": "-", "‑": "-", "−": "-", "‒": "–", "―": "—", "⁃": "-", "˗": "-", "ʼ": "'", "׳": "'", "ʹ": "'", "∕": "/", "⁄": "/", "∶": ":", "ꞏ": "·"}
 # End of fixed values.
 
-ALIKE = LATIN_ALIKE | GREEK_ALIKE
+ALIKE = LATIN_ALIKE | GREEK_ALIKE | OTHER_ALIKE
 _TO_CYRILLIC = str.maketrans(ALIKE)
 _TO_LATIN = str.maketrans({c: x for x, c in LATIN_ALIKE.items()} | {g: next(x for x, y in LATIN_ALIKE.items() if y == c) for g, c in GREEK_ALIKE.items()})
 _SAME_LOOK = ("<wide>", "<narrow>", "<noBreak>", "<font>")
 _KEPT_CONTROLS = "\t\n\r"
+_LOOSE = re.compile("[\u0300-\u036f\u0483-\u0487]")
 
 
 def _unstable(ch: str) -> bool:
     kind = ud.category(ch)
-    if kind == "Cf" or kind == "Mn" or (kind == "Cc" and ch not in _KEPT_CONTROLS) or ch in MARK_ALIKE:
+    if kind == "Cf" or kind == "Mn" or (kind == "Cc" and ch not in _KEPT_CONTROLS) or ch in MARK_ALIKE or ch in CYRILLIC_ALIKE:
         return True
     if kind == "Zs":
         return ch != " "
@@ -77,7 +82,7 @@ def _esc(cp: int) -> str:
     return chr(cp) if cp > 0xFFFF else f"\\u{cp:04x}"
 
 
-_GREEK, _CYR, _LATIN = "Ͱ-Ͽ", "Ѐ-ӿ", "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f\\u1e00-\\u1eff"
+_GREEK, _CYR, _LATIN = "Ͱ-Ͽ", "Ѐ-ӿ", "A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u02af\\u0531-\\u0587\\u1d00-\\u1d2b\\u1e00-\\u1eff"
 _FOREIGN = _LATIN + _GREEK
 _BETWEEN = "0-9\\u0300-\\u036f"
 _WORD = f"[{_FOREIGN}{_CYR}{_BETWEEN}]"
@@ -114,8 +119,8 @@ def _fold(segment: str) -> str:
     out = []
     for ch in segment:
         kind = ud.category(ch)
-        if ch in MARK_ALIKE:
-            out.append(MARK_ALIKE[ch])
+        if ch in MARK_ALIKE or ch in CYRILLIC_ALIKE:
+            out.append(MARK_ALIKE.get(ch) or CYRILLIC_ALIKE[ch])
         elif kind == "Zs":
             out.append(" ")
         elif kind == "Cf" or (kind == "Cc" and ch not in _KEPT_CONTROLS):
@@ -126,7 +131,8 @@ def _fold(segment: str) -> str:
                 out.append(ud.normalize("NFKC", ch))
             else:
                 out.append(ch)
-    return ud.normalize("NFC", "".join(out))
+    # what is left of the accents of Latin, Greek and Cyrillic letters belongs to no letter
+    return _LOOSE.sub("", ud.normalize("NFC", "".join(out)))
 
 
 def _word(m: re.Match, cyrillic_text: bool, capitals: bool) -> str:
@@ -139,12 +145,14 @@ def _word(m: re.Match, cyrillic_text: bool, capitals: bool) -> str:
             latin = _as(_TO_LATIN, w)
             if all(c.isascii() for c in plain) and not any("Ͱ" <= c <= "ӿ" for c in latin):
                 return latin
-            return _as(_TO_CYRILLIC, w) if cyrillic else w
+            return _LOOSE.sub("", _as(_TO_CYRILLIC, w)) if cyrillic else w
         return w
     if not cyrillic and not capitals and len(letters) > 1 and len(letters) == len(w) and w.isascii() and w.isupper():
         return w  # an abbreviation, unless the whole text is in capitals
     # nothing but look-alikes: the text decides, if it has letters with such accents
     new = _as(_TO_CYRILLIC, w)
+    if cyrillic:
+        return _LOOSE.sub("", new)
     return new if cyrillic_text and not any(ud.combining(c) for c in new) else w
 
 

@@ -49,18 +49,16 @@ ORDINARY = 1.7
 GAIN_PART = 25.0
 #: The same allowance for such a part.
 ORDINARY_PART = 0.8
-#: Mappings, those that save most somewhere first, that are tried on parts of a run.
-PARTS = 4
 #: Share of the characters past ASCII that the wrong encoding must be able to have made.
 COVER = 0.6
 #: Cost of a pair never met, and the most any pair costs.
 WORST = 13.0
-#: Times one wrong decoding may have been repeated.
-ROUNDS = 3
 #: Score from which a stretch is garbled by fixed signs alone (nats), per changed character, and how many of these differ.
 FIXED, FIXED_EACH, FIXED_LETTERS = 25.0, 0.2, 5
 #: Characters of a window, and its score from which a text is looked at for these signs.
 WINDOW, WINDOW_LEAST = 16, 7.0
+#: Marks of lost characters in one improbable run, or score of its other pairs, from which they show a wrong decoding.
+LOST_MARKS, LOST_SCORE = 2, 1.5
 #: Score of each character of a UTF-8 sequence of a letter, of other characters past ASCII, and of four such sequences.
 SEQUENCE, NO_SEQUENCE, SEQUENCES = 2.0, -1.5, 16.0
 
@@ -366,11 +364,13 @@ def _by_fixed_signs(text: str) -> tuple[str, tuple[str, str]] | None:
 def best_mapping(run: str, model: PairModel, gain: float = GAIN) -> tuple[str, list[tuple[str, str]]]:
     """(restored run, mappings applied in order); the run itself and none if nothing makes it ordinary."""
     done: list[tuple[str, str]] = []
-    for _ in range(ROUNDS):
-        found = _one_mapping(run, model, gain)
-        if not found:
-            break
+    seen = {run}
+    # as often as it was decoded wrongly; every mapping makes the run cheaper
+    while found := _one_mapping(run, model, gain):
         run, how = found
+        if run in seen:
+            break
+        seen.add(run)
         done.append(how)
     return run, done
 
@@ -423,15 +423,13 @@ def _one_mapping(run: str, model: PairModel, gain: float) -> tuple[str, tuple[st
         saved_all = (delta * counts).sum(axis=1)
         then_all = (np.where(changed, costs, 0.0) * counts).sum(axis=1)
         up = (np.maximum(delta, 0.0) * counts).sum(axis=1)
-        parts = 0
         for i in np.argsort(-up).tolist():
             if not n[i] or up[i] < gain:
                 continue
             saved, after, most = float(saved_all[i]), float(then_all[i] / n[i]), model.mean + ORDINARY
             before = after + saved / n[i]
-            if (before - after < GAIN_EACH or after > most) and up[i] >= GAIN_PART and parts < PARTS:
+            if (before - after < GAIN_EACH or after > most) and up[i] >= GAIN_PART:
                 # sound text around the garbled part hides what the mapping saves
-                parts += 1
                 part = segments(delta[i][where], GAIN_PART)
                 inside = np.concatenate([where[lo:hi] for lo, hi in part]) if part else np.zeros(0, dtype=np.int64)
                 inside = inside[changed[i][inside]]
@@ -526,11 +524,12 @@ def restore(text: str, model: PairModel) -> tuple[str, list[tuple[str, str]]]:
         return text, []
     outright: list[tuple[str, str]] = []
     # a text may be garbled in several stretches, each of them several times
-    for _ in range(ROUNDS * ROUNDS):
-        found = _by_fixed_signs(text)
-        if not found:
+    seen = {text}
+    while found := _by_fixed_signs(text):
+        if found[0] in seen:
             break
         text = found[0]
+        seen.add(text)
         outright.append(found[1])
     parts, at, done = [], 0, []
     for lo, hi in runs(text, model.costs(text)):
@@ -561,6 +560,27 @@ def _where_cheaper(text: str, new: str, model: PairModel) -> str:
 _LOST = re.compile("[\x80-\x84\x86-\x9f\ufffd]")
 
 
+def lost(text: str, model: PairModel) -> bool:
+    """Whether an improbable run of the text holds marks of lost characters that aren't a lone one in sound text.
+
+    Either it holds several of them, or its other pairs are improbable too.
+    """
+    if not _LOST.search(text):
+        return False
+    costs = model.costs(text)
+    for lo, hi in runs(text, costs):
+        marks = [m.start() for m in _LOST.finditer(text, lo, hi)]
+        if len(marks) >= LOST_MARKS:
+            return True
+        if marks:
+            other = np.maximum(costs[lo : max(lo, hi - 1)] - RARE, 0.0)
+            for m in marks:
+                other[max(0, m - 1 - lo) : m + 1 - lo] = 0.0
+            if other.sum() >= LOST_SCORE:
+                return True
+    return False
+
+
 def corpus_pairs(df: DataFrame, *, text: str) -> DataFrame:
     """``pair, n``: adjacent symbol pairs of all texts, counted per batch before the shuffle.
 
@@ -601,7 +621,7 @@ def find_garbled(df: DataFrame, *, id: str, text: str) -> DataFrame:
                     if done:
                         how.append([f"{w}>{r}" for w, r in done])
                         restored.append(new)
-                    elif texts[i] and _LOST.search(texts[i]):
+                    elif suspect and lost(texts[i], model):
                         how.append([])
                         restored.append(None)
                     else:

@@ -15,6 +15,7 @@ PAIRS = [
     ("Мoтopнaя", "Моторная"), ("йод и ёж", "йод и ёж"), ("во​да", "вода"), ("по­рт", "порт"), ("а б　в г", "а б в г"),
     ("１２，５？", "12,5?"), ("Κατер", "Катер"), ("c борта", "с борта"), ("GPS и VHF", "GPS и VHF"), ("gps vhf ais", "gps vhf ais"), ("VНF", "VHF"),
     ("", ""), (None, None), ("«Чайка» – 5 км/ч", "«Чайка» – 5 км/ч"), ("​", ""), ("tripulação à vela", "tripulação à vela"), ("КУДА ИДЁТ CO GPS", "КУДА ИДЁТ СО GPS"), ("сигнал MOB", "сигнал MOB"), ("судно А12", "судно А12"), ("судно A12", "судно А12"),
+    ("ска\u0301ла", "скала"), ("вoдa\u0301", "вода"), ("в\u0585да", "вода"), ("п\u1d0fрт", "порт"), ("5\u20126", "5–6"), ("\u0456 сигнал", "i сигнал"), ("\u0405OS", "SOS"), ("résumé", "résumé"),
 ]
 
 
@@ -28,7 +29,7 @@ def test_canonical(text, want):
 
 def test_quick_check_misses_nothing():
     rng = random.Random(1)
-    letters = "абвйёАacCxοΡ　 ​­̆̈１Ｚ59 -.«V\tβ½№é"
+    letters = "абвйёАacCxοΡіѕօᴏ‒　 ​­̆̈１Ｚ59 -.«V\tβ½№é"
     for _ in range(3000):
         t = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 12)))
         c = canonical(t)
@@ -138,3 +139,21 @@ def test_segments_against_all_subsegments():
         if best >= 1:
             assert max(s[a:b].sum() for a, b in got) == best
         assert all(a2 >= b1 for (_, b1), (a2, _) in zip(got, got[1:]))
+
+
+def test_lost_marks():
+    """A lone mark in sound text is no case; several, or one among improbable pairs, are."""
+    sound = ["Катер проходит под мостом и подаёт сигнал, экипаж проверяет огни и жилеты."] * 400
+    model = garbled.PairModel(*garbled.pair_counts(sound))
+    assert not garbled.lost(sound[0], model) and not garbled.lost(sound[0].replace("мостом", "мос\ufffdом"), model)
+    assert garbled.lost(sound[0].replace("мостом", "\ufffd\ufffd\ufffdом"), model)
+    assert garbled.lost(sound[0].replace("мостом", "РјРѕС\ufffdС‚РѕРј"), model)
+
+
+def test_decoded_wrongly_four_times():
+    sound = ["Катер проходит под мостом и подаёт сигнал, экипаж проверяет огни и жилеты."] * 400
+    model = garbled.PairModel(*garbled.pair_counts(sound))
+    bad = sound[0]
+    for _ in range(4):
+        bad = bad.encode("utf-8").decode("latin-1")
+    assert garbled.restore(bad, model)[1]
