@@ -42,7 +42,7 @@ from kedge.llm.neardup import words
 #: BM25: saturation of term frequency, and how much length counts.
 K1, B = 1.2, 0.3
 #: Least share of a query's own score, and of an indexed record's, that a candidate's score has.
-LEFT_SHARE, RIGHT_SHARE = 0.28, 0.22
+LEFT_SHARE, RIGHT_SHARE = 0.36, 0.30
 #: How near to the best of its query and of its record a candidate must score.
 NEAR = 0.4
 #: Least share of the main attribute's weight a match has in common with its query.
@@ -141,28 +141,29 @@ class Index:
         each = right.select(F.explode(F.arrays_zip("terms", "freq")).alias("z"), "size").select(F.col("z.terms").alias("term"), _impact(F.col("z.freq"), F.col("size"), self.mean).alias("impact"))
         self.stats = scratch.table(each.groupBy("term").agg(F.count("*").alias("df"), F.max("impact").alias("top")), "terms")
 
-    def weighted(self, side: DataFrame) -> DataFrame:
-        """``id, own, all``: terms of each record as (df, term, weight, most), rarest first, and the score it has with itself.
+    def weighted(self, side: DataFrame, *, most: bool) -> DataFrame:
+        """``id, own, main, terms, weights``: the terms of each record that the index has, rarest first, and the score it has with itself, in all and from the main attribute.
 
-        ``most`` is the term's max-score. Terms outside the index count to a query's own score only.
+        Weights are the terms' impacts, or with ``most`` their max-scores. Terms outside the index count to the own score only.
         """
         stats = F.broadcast(self.stats) if self.stats.count() <= BROADCAST_TERMS else self.stats
         each = side.select("id", "size", F.explode(F.arrays_zip("terms", "freq")).alias("z")).select("id", "size", F.col("z.terms").alias("term"), F.col("z.freq").alias("freq"))
         each = each.join(stats, "term", "left").withColumn("df", F.coalesce("df", F.lit(0).cast("bigint")))
         idf = _idf(F.col("df"), self.n)
         each = each.withColumn("weight", (idf * _impact(F.col("freq"), F.col("size"), self.mean)).cast("float"))
-        entry = F.struct("df", "term", "weight", (idf * F.coalesce("top", F.lit(0.0))).cast("float").alias("most"))
-        return each.groupBy("id").agg(F.sum("weight").alias("own"), F.array_sort(F.collect_list(F.when(F.col("df") > 0, entry))).alias("all"))
+        entry = F.struct(F.col("df").cast("int").alias("df"), "term", ((idf * F.col("top")).cast("float") if most else F.col("weight")).alias("weight"))
+        per = each.groupBy("id").agg(F.sum("weight").alias("own"), F.sum(F.when(F.col("term").bitwiseAND(F.lit(1)) == 1, F.col("weight"))).alias("main"), F.array_sort(F.collect_list(F.when(F.col("df") > 0, entry))).alias("all"))
+        return per.select("id", "own", "main", F.transform("all", lambda x: x["term"]).alias("terms"), F.transform("all", lambda x: x["weight"]).alias("weights"))
 
 
-def _prefixes(weighted: DataFrame, share: float, field: str) -> DataFrame:
+def _prefixes(weighted: DataFrame, share: float) -> DataFrame:
     """``id, term``: the terms before the point from which the rest can't reach ``share`` of the own score."""
-    mass = F.aggregate("all", F.lit(0.0), lambda s, x: s + x[field])
-    start = F.struct(mass.alias("left"), F.array().cast("array<bigint>").alias("taken"))
+    mass = F.aggregate("weights", F.lit(0.0), lambda s, x: s + x)
     # float weights: a bound lower by a hair keeps what rounding would lose
     bound = F.col("own") * (share - 1e-5)
-    folded = F.aggregate("all", start, lambda acc, x: F.when(acc["left"] >= bound, F.struct((acc["left"] - x[field]).alias("left"), F.array_append(acc["taken"], x["term"]).alias("taken"))).otherwise(acc))
-    return weighted.select("id", F.explode(folded["taken"]).alias("term"))
+    start = F.struct(mass.alias("left"), F.lit(0).alias("taken"))
+    folded = F.aggregate("weights", start, lambda acc, x: F.when(acc["left"] >= bound, F.struct((acc["left"] - x).alias("left"), (acc["taken"] + 1).alias("taken"))).otherwise(acc))
+    return weighted.select("id", F.explode(F.slice("terms", F.lit(1), folded["taken"])).alias("term"))
 
 
 def candidates(left: DataFrame, right: DataFrame, index: Index | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -172,14 +173,14 @@ def candidates(left: DataFrame, right: DataFrame, index: Index | None = None) ->
     lost, however common its terms.
     """
     index = index or Index(right)
-    lw, rw = scratch.table(index.weighted(left), "lw"), scratch.table(index.weighted(right), "rw")
+    lw, rw = scratch.table(index.weighted(left, most=True), "lw"), scratch.table(index.weighted(right, most=False), "rw")
     asks = F.array(F.col("number"))
     if not right.where(F.size("nums") > PAIRED).isEmpty():
         asks = F.when(F.col("alone") != 0, F.array("number", "alone")).otherwise(asks)
-    query = _prefixes(lw, LEFT_SHARE, "most").join(left.select("id", "mask", asks.alias("asks")), "id")
+    query = _prefixes(lw, LEFT_SHARE).join(left.select("id", "mask", asks.alias("asks")), "id")
     query = query.select("term", F.explode("asks").alias("number"), F.col("id").alias("l"), F.col("mask").alias("lm"))
     query = query.select(F.xxhash64("term", "number").alias("key"), "l", "lm")
-    posted = _prefixes(rw, RIGHT_SHARE, "weight").join(right.select("id", "mask", "keys"), "id")
+    posted = _prefixes(rw, RIGHT_SHARE).join(right.select("id", "mask", "keys"), "id")
     posted = posted.select("term", F.explode("keys").alias("number"), F.col("id").alias("r"), F.col("mask").alias("rm"))
     posted = posted.select(F.xxhash64("term", "number").alias("key"), "r", "rm")
     hits = split.join(query, posted, key="key", by=("l", "r"), condition=F.col("lm").bitwiseAND(F.bitwise_not("rm")) == 0)
@@ -245,11 +246,8 @@ def retrieve(left: DataFrame, right: DataFrame) -> DataFrame:
     the query's, ``gap`` the distance to the best other candidate of the query, as a share of the query's own score.
     """
     pairs, lw, rw = candidates(left, right)
-    by_term = F.array_sort(F.transform("all", lambda x: F.struct(x["term"].alias("term"), x["weight"].alias("weight"))))
-    of_main = F.aggregate(F.filter("all", lambda x: x["term"].bitwiseAND(F.lit(1)) == 1), F.lit(0.0), lambda s, x: s + x["weight"])
-    lq = lw.select(F.col("id").alias("l"), F.transform(by_term, lambda x: x["term"]).alias("lt"), F.col("own").alias("lown"), of_main.alias("lmain"))
-    rq = rw.select(F.col("id").alias("r"), by_term.alias("z"), F.col("own").alias("rown"))
-    rq = rq.select("r", F.transform("z", lambda x: x["term"]).alias("rt"), F.transform("z", lambda x: x["weight"]).alias("rw"), "rown")
+    lq = lw.select(F.col("id").alias("l"), F.array_sort("terms").alias("lt"), F.col("own").alias("lown"), F.col("main").alias("lmain"))
+    rq = rw.select(F.col("id").alias("r"), F.col("terms").alias("rt"), F.col("weights").alias("rw"), F.col("own").alias("rown"))
     # keys and masks of numbers are hashed; here they are compared
     ln, rn = left.select(F.col("id").alias("l"), F.col("nums").alias("ln")), right.select(F.col("id").alias("r"), F.col("nums").alias("rn"))
     full = pairs.join(lq.select("l", "lt").join(ln, "l"), "l").join(rq.select("r", "rt", "rw").join(rn, "r"), "r")
