@@ -97,13 +97,17 @@ def text_variants(c: Column) -> Column:
     return F.array_distinct(F.array(comparison_text(c), comparison_text(rejoined(c, "")), comparison_text(rejoined(c, "-"))))
 
 
-def answer_key(c: Column) -> Column:
-    """``comparison_text`` without one pair of quotes around it."""
-    t = comparison_text(c)
+def unquoted(t: Column) -> Column:
+    """A text without one pair of quotes around it."""
     quoted = (F.length(t) > 1) & t.startswith('"') & t.endswith('"')
     return F.when(quoted, F.substr(t, F.lit(2), F.length(t) - 2)).otherwise(t)
 
 
+def answer_key(c: Column) -> Column:
+    """``comparison_text`` without one pair of quotes around it."""
+    return unquoted(comparison_text(c))
+
+
 def title_key(c: Column) -> Column:
     """``comparison_text`` of a title without its trailing category in brackets."""
     return comparison_text(F.regexp_replace(c, rf"(?iu)\s*\((?:{TITLE_SUFFIX})\+?\)\s*$", ""))

@@ -67,9 +67,19 @@ def all_resources(df: DataFrame, *, id: str) -> DataFrame:
     return df.select(F.col(id).alias(id), F.posexplode(F.transform(held, lambda r: r["url"])).alias("nth", "url"))
 
 
-def enrich_resources(uses: DataFrame, media: DataFrame, *, url: str = "url") -> DataFrame:
-    """``uses`` with sha256, bytes and content_type of the latest record of their url; null where there is none."""
-    return uses.join(media.select(F.col(url).alias(url), "sha256", "bytes", "content_type"), url, "left")
+def enrich_resources(uses: DataFrame, media: DataFrame, *, url: str = "url", at: str | None = None, required: bool = False) -> DataFrame:
+    """``uses`` with sha256, bytes and content_type of the latest record of their url.
+
+    The latest is the one with the greatest ``at``, of several the greatest record; a use
+    stays one row however many records its url has. A use without a record has nulls, or
+    fails the job if one is ``required``; the message names no url.
+    """
+    facts = ["sha256", "bytes", "content_type"]
+    last = media.where(F.col(url).isNotNull()).groupBy(F.col(url).alias(url)).agg(F.max_by(F.struct(*facts), F.struct(*([at] if at else []), *facts)).alias("_m"))
+    out = uses.join(last, url, "left")
+    if required:
+        out = out.withColumn("_m", F.when(F.col("_m").isNull(), F.raise_error(F.lit("a resource has no media record"))).otherwise(F.col("_m")))
+    return out.select(*uses.columns, *[F.col(f"_m.{c}").alias(c) for c in facts])
 
 
 def zip_rows(left: DataFrame, right: DataFrame, *, by: Sequence[str], order: str) -> DataFrame:

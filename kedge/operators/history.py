@@ -161,7 +161,7 @@ def bitemporal_ledger(df: DataFrame, *, key: str, value: str, valid: str, record
         .groupBy("key", "value", "t").agg(F.min("r").alias("r"))
         .select("key", "value", "t", "r")
     )
-    n = scratch.partitions(df)
+    n = scratch.pieces(df)
     swept = obs.repartitionByRange(n, "key", "t", "r", "value").sortWithinPartitions("key", "t", "r", "value").mapInArrow(_pieces, _OUT)
     swept = scratch.table(swept, "ledger")
     edges = swept.where(F.col("kind") != _ROW).groupBy("key").applyInPandas(_stitch, _OUT)

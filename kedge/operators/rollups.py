@@ -144,3 +144,19 @@ def answer_support(live: Column, published: Column, live_keys: Column, published
     supported_normalized, unsupported, or not_comparable without exactly one and at least one."""
     one = F.get(live, F.lit(0))
     return F.when((F.size(live) != 1) | (F.coalesce(F.size(published), F.lit(0)) < 1), "not_comparable").when(F.array_contains(published, one), "supported_exact").when(F.array_contains(published_keys, F.get(live_keys, F.lit(0))), "supported_normalized").otherwise("unsupported")
+
+
+def answer_check(live: Column, media: Column, published: Column, known: Column, raw: Column) -> Column:
+    """What became of a row's published answer: unknown_correctness, not_comparable, same, wording_changed or different.
+
+    ``live`` are the correct live answers, ``media`` whether live answers have any,
+    ``published`` the correct printed answer, ``known`` whether it is, ``raw`` its text as printed, whose
+    readings count as the same. Null flags count as false.
+    """
+    one = F.get(live, F.lit(0))
+    readings = F.transform(tx.text_variants(F.coalesce(raw, F.lit(""))), tx.unquoted)
+    comparable = (F.coalesce(F.size(live), F.lit(0)) == 1) & published.isNotNull() & ~F.coalesce(media, F.lit(False))
+    return (
+        F.when(~F.coalesce(known, F.lit(False)), "unknown_correctness").when(~comparable, "not_comparable").when(one == published, "same")
+        .when(F.array_contains(readings, tx.answer_key(one)), "wording_changed").otherwise("different")
+    )

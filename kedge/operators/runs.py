@@ -24,7 +24,7 @@ def value_runs(df: DataFrame, *, keys: Sequence[str], order: Sequence[str], valu
     key or null ``order[0]`` are left out; null values form runs of their own.
     ``order`` must be total up to rows that are equal in value.
     """
-    n = scratch.partitions(df)
+    n = scratch.pieces(df)
     cols = [*keys, *order, value]
     rows = df.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
     k = [f"c{i}" for i in range(len(keys))]

@@ -17,10 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Values longer than this are compared by their SHA-256.
-DIGEST_OVER = 96
-#: Pairs of snapshots that may be broadcast; beyond it the plan joins by shuffle.
-BROADCAST_PAIRS = 100_000
+from kedge import scratch
+
+#: Pairs of snapshots, and changed keys, that may be broadcast; beyond it the plan joins by shuffle.
+BROADCAST_PAIRS, BROADCAST_CHANGED = 100_000, 200_000
 
 
 def snapshot_pairs(manifest: DataFrame, *, snapshot: str = "snapshot_id", previous: str = "previous_snapshot", complete: str | None = "complete") -> DataFrame:
@@ -37,7 +37,8 @@ def snapshot_pairs(manifest: DataFrame, *, snapshot: str = "snapshot_id", previo
 
 
 def _cell(c: Column) -> Column:
-    return F.when(F.length(c) > DIGEST_OVER, F.concat(F.lit("sha256:"), F.sha2(c, 256))).otherwise(F.concat(F.lit("="), c))
+    """128-bit digest of a value; null stays null, which is a value of its own."""
+    return F.unhex(F.md5(c))
 
 
 def snapshot_delta(rows: DataFrame, pairs: DataFrame, *, snapshot: str, key: str, fields: Sequence[str], keep_unchanged: bool = False) -> DataFrame:
@@ -50,41 +51,41 @@ def snapshot_delta(rows: DataFrame, pairs: DataFrame, *, snapshot: str, key: str
     ``ambiguous``. Other columns of ``rows``, whatever their names, are not read.
     Empty tables give an empty result.
     """
-    spark = rows.sparkSession
-    name = {f: f"f{i}" for i, f in enumerate(fields)}
     kinds = dict(rows.dtypes)
-    text = [(F.col(f).cast("string") if kinds.get(f, "x") in _SCALARS else F.to_json(F.struct(F.col(f).alias("v")))).alias(name[f]) for f in fields]
-    base = rows.select(F.col(snapshot).alias("_s"), F.col(key).alias("_k"), *text).where("_s is not null and _k is not null").distinct()
-
+    text = {f: F.col(f).cast("string") if kinds.get(f, "x") in _SCALARS else F.to_json(F.struct(F.col(f).alias("v"))) for f in fields}
+    keyed = rows.select(F.col(snapshot).alias("_s"), F.col(key).alias("_k"), *[_cell(text[f]).alias(f"f{i}") for i, f in enumerate(fields)]).where("_s is not null and _k is not null")
+    cells = [F.coalesce(F.hex(f"f{i}"), F.lit("-")) for i in range(len(fields))]
+    whole = _cell(F.concat_ws(",", *cells)) if len(fields) > 1 else F.col("f0")
     roles = pairs.select("later", F.explode(F.array(F.struct(F.col("later").alias("_s"), F.lit(1).alias("_sign")), F.struct(F.col("earlier").alias("_s"), F.lit(-1).alias("_sign")))).alias("r")).select("later", "r.*")
     if pairs.limit(BROADCAST_PAIRS + 1).count() <= BROADCAST_PAIRS:
         roles = F.broadcast(roles)
-    cells = [F.struct(F.lit(-1).alias("field"), F.lit(None).cast("string").alias("value"))]
-    cells += [F.struct(F.lit(i).alias("field"), _cell(F.col(name[f])).alias("value")) for i, f in enumerate(fields)]
-    signed = base.join(roles, "_s").select("later", "_k", "_sign", F.explode(F.array(*cells)).alias("c"))
-    sums = (
-        signed.groupBy("later", "_k", F.col("c.field").alias("field"), F.col("c.value").alias("value"))
-        .agg(F.sum(F.when(F.col("_sign") > 0, 1).otherwise(0)).alias("after"), F.sum(F.when(F.col("_sign") < 0, 1).otherwise(0)).alias("before"))
-        .where("field = -1 or after <> before")
-    )
-    names = F.array(*[F.lit(f) for f in fields])
-    keys = sums.groupBy("later", "_k").agg(
-        F.max(F.when(F.col("field") < 0, F.col("after"))).alias("after"),
-        F.max(F.when(F.col("field") < 0, F.col("before"))).alias("before"),
-        F.array_sort(F.collect_set(F.when(F.col("field") >= 0, F.element_at(names, F.col("field") + 1)))).alias("touched"),
-    )
+    sides = [F.sum(F.when(F.col("_sign") > 0, 1).otherwise(0)).alias("after"), F.sum(F.when(F.col("_sign") < 0, 1).otherwise(0)).alias("before")]
+    markers = keyed.select("_s", "_k", whole.alias("row")).distinct().join(roles, "_s").groupBy("later", "_k", "row").agg(*sides)
+    keys = markers.groupBy("later", "_k").agg(F.sum("after").alias("after"), F.sum("before").alias("before"), F.max(F.col("after") != F.col("before")).alias("differs"))
     kind = (
         F.when((F.col("after") > 1) | (F.col("before") > 1), "ambiguous")
         .when(F.col("before") == 0, "added")
         .when(F.col("after") == 0, "removed")
-        .when(F.size("touched") > 0, "changed")
+        .when(F.col("differs"), "changed")
         .otherwise("unchanged")
     )
-    out = keys.select(
-        F.col("later").alias("snapshot_id"), F.col("_k").alias("key"), kind.alias("change_kind"),
-        F.when(kind == "changed", F.col("touched")).otherwise(F.array().cast("array<string>")).alias("changed_fields"),
-    )
-    return out if keep_unchanged else out.where("change_kind <> 'unchanged'")
+    out = keys.select("later", "_k", kind.alias("change_kind"))
+    if not keep_unchanged:
+        out = out.where("change_kind <> 'unchanged'")
+    none = F.array().cast("array<string>")
+    if len(fields) == 1:
+        touched = F.when(F.col("change_kind") == "changed", F.array(F.lit(fields[0]))).otherwise(none)
+        return out.select(F.col("later").alias("snapshot_id"), F.col("_k").alias("key"), "change_kind", touched.alias("changed_fields"))
+    out = scratch.table(out, "kinds")
+    changed = out.where("change_kind = 'changed'").select("later", "_k")
+    if changed.limit(BROADCAST_CHANGED + 1).count() <= BROADCAST_CHANGED:
+        changed = F.broadcast(changed)
+    each = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"f{i}").alias("value")) for i, f in enumerate(fields)])
+    signed = keyed.join(roles, "_s").join(changed, ["later", "_k"], "left_semi").select("later", "_k", "_sign", F.explode(each).alias("c")).select("later", "_k", "_sign", "c.*")
+    # these keys have one distinct row a side, which may be repeated
+    cell = signed.groupBy("later", "_k", "field", "value").agg(F.max(F.when(F.col("_sign") > 0, 1).otherwise(0)).alias("after"), F.max(F.when(F.col("_sign") < 0, 1).otherwise(0)).alias("before")).where("after <> before")
+    touched = cell.groupBy("later", "_k").agg(F.array_sort(F.collect_set("field")).alias("touched"))
+    return out.join(touched, ["later", "_k"], "left").select(F.col("later").alias("snapshot_id"), F.col("_k").alias("key"), "change_kind", F.coalesce("touched", none).alias("changed_fields"))
 
 
 _SCALARS = {"string", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz"}

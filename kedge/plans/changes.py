@@ -64,6 +64,37 @@ SELECT * FROM (
     WHEN afp IS DISTINCT FROM bfp THEN 'changed' ELSE 'same' END AS change_kind FROM j) WHERE change_kind <> 'same'
 """
 
+P2_FIELDS_SQL = f"""
+WITH {_PAIRS_SQL},
+  r AS (SELECT DISTINCT snapshot_id, stable_key, {", ".join(QUESTION_FIELDS)} FROM questions WHERE stable_key IS NOT NULL),
+  n AS (SELECT snapshot_id, stable_key, count(*) AS n, {", ".join(f"any_value(ROW({f})) AS {f}" for f in QUESTION_FIELDS)} FROM r GROUP BY 1, 2),
+  a AS (SELECT p.later, n.* FROM pairs p JOIN n ON n.snapshot_id = p.later),
+  b AS (SELECT p.later, n.* FROM pairs p JOIN n ON n.snapshot_id = p.earlier),
+  j AS (SELECT coalesce(a.later, b.later) AS snapshot_id, coalesce(a.stable_key, b.stable_key) AS stable_key, a.n AS an, b.n AS bn,
+          concat_ws(',', {", ".join(f"CASE WHEN a.{f} IS DISTINCT FROM b.{f} THEN '{f}' END" for f in sorted(QUESTION_FIELDS))}) AS f
+        FROM a FULL OUTER JOIN b ON a.later = b.later AND a.stable_key = b.stable_key)
+SELECT snapshot_id, stable_key, change_kind, CASE WHEN change_kind = 'changed' THEN f ELSE '' END AS changed_fields FROM (
+  SELECT *, CASE WHEN an > 1 OR bn > 1 THEN 'ambiguous' WHEN bn IS NULL THEN 'added' WHEN an IS NULL THEN 'removed' WHEN f <> '' THEN 'changed' ELSE 'same' END AS change_kind FROM j) WHERE change_kind <> 'same'
+"""
+
+_OBSERVED_SQL = """
+  parsed AS (SELECT trim(url) AS url, lower(trim(sha256)) AS sha256, epoch_us(delivered_at) AS d, CASE
+      WHEN regexp_matches(trim(retrieved_at), '^[A-Z][a-z]{2}, ') THEN epoch_us(try_strptime(trim(retrieved_at), '%a, %d %b %Y %H:%M:%S GMT'))
+      WHEN regexp_matches(trim(retrieved_at), '(Z|[+-]\\d{2}:\\d{2})$') AND length(trim(retrieved_at)) > 12 THEN epoch_us(try_cast(trim(retrieved_at) AS TIMESTAMPTZ))
+      ELSE epoch_us(try_cast(trim(retrieved_at) AS TIMESTAMP)) END AS t FROM media_records)"""
+P3_LEDGER_SQL = f"""
+WITH {_OBSERVED_SQL},
+  o AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY t, r, sha256) AS n FROM (SELECT url, sha256, t, min(coalesce(d, t)) AS r FROM parsed WHERE url <> '' AND sha256 <> '' AND t IS NOT NULL GROUP BY 1, 2, 3)),
+  s AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY r, n) AS arrival FROM o),
+  -- successors an observation has had, each from the arrival that made it one
+  x AS (SELECT a.url, a.n, a.arrival AS turn, a.r AS since, min(b.n) AS next FROM s a LEFT JOIN s b ON b.url = a.url AND b.n > a.n AND b.arrival < a.arrival GROUP BY ALL
+        UNION ALL SELECT a.url, a.n, b.arrival, b.r, b.n FROM s a JOIN s b ON b.url = a.url AND b.n > a.n AND b.arrival > a.arrival),
+  y AS (SELECT *, min(next) OVER (PARTITION BY url, n ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS least, row_number() OVER (PARTITION BY url, n ORDER BY turn) AS k FROM x),
+  z AS (SELECT *, lead(since) OVER (PARTITION BY url, n ORDER BY turn) AS until FROM y WHERE k = 1 OR least IS NULL OR next < least)
+SELECT s.url, s.sha256, s.t AS valid_from_us, coalesce(e.t, -1) AS valid_to_us, z.since AS recorded_from_us, coalesce(z.until, -1) AS recorded_to_us
+FROM z JOIN s ON s.url = z.url AND s.n = z.n LEFT JOIN s e ON e.url = z.url AND e.n = z.next WHERE z.since IS DISTINCT FROM z.until AND s.t IS DISTINCT FROM e.t
+"""
+
 P3_SQL = """
 WITH raw AS (SELECT trim(url) AS url, lower(trim(sha256)) AS sha256, trim(retrieved_at) AS s FROM media_records),
   parsed AS (SELECT url, sha256, CASE
@@ -82,4 +113,4 @@ def queries() -> dict:
 
 
 def sql() -> dict[str, str]:
-    return {"p2_found": P2_SQL, "p3_found": P3_SQL}
+    return {"p2_found": P2_SQL, "p2_changed_fields": P2_FIELDS_SQL, "p3_found": P3_SQL, "p3_ledger": P3_LEDGER_SQL}

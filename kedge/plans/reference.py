@@ -14,7 +14,9 @@ from kedge import scratch
 from kedge.functions import similarity as sim
 from kedge.functions import text as tx
 from kedge.functions.identity import content_fingerprint, is_uuid, match_fingerprint, revision_fingerprint, short_id, stable_key
-from kedge.operators import compare, layout, linkage, matchers, quality, rollups
+from kedge.operators import compare, layout, linkage, quality, rollups
+from kedge.plans import duck
+from kedge.plans.links import signature_numbers, signature_words
 from kedge.sources import store
 from kedge.streaming import ingest
 
@@ -107,7 +109,18 @@ def _(spark, d):
     return q.select(match_fingerprint(F.col("text"), F.col("resources"), F.col("answers")).alias("fingerprint")).distinct()
 
 
-@_query("content_fingerprints")
+def _json_list(items: str) -> str:
+    return f"'[' || coalesce(array_to_string({items}, ','), '') || ']'"
+
+
+_URLS = lambda c: _json_list(f"list_transform({c}, lambda r: to_json(r.url)::VARCHAR)")
+_ANSWERS = lambda ids: _json_list("list_transform(answers, lambda a: '{' || " + ("'\"id\":' || to_json(a.id)::VARCHAR || ',' || " if ids else "") + "'\"resources\":' || " + _URLS("a.resources") + " || ',\"text\":' || to_json(a.text)::VARCHAR || '}')")
+
+
+@_query("content_fingerprints", f"""WITH q AS (SELECT *, sha256('{{"algorithm":"match-fingerprint-v1","answers":' || {_ANSWERS(True)} || ',"resources":' || {_URLS("resources")} || ',"text":' || to_json(text)::VARCHAR || '}}') AS m FROM questions)
+ SELECT snapshot_id, stable_key, sha256('{{"answers":' || {_ANSWERS(False)} || ',"resources":' || {_URLS("resources")} || ',"text":' || to_json(text)::VARCHAR || '}}') AS content,
+  sha256('{{"algorithm":"revision-fingerprint-v2","correct_answer_ids":' || {_json_list("list_transform(list_sort(correct_answer_ids), lambda x: to_json(x)::VARCHAR)")} || ',"correct_flags":' || {_json_list("list_transform(answers, lambda a: to_json(a.correct)::VARCHAR)")} || ',"is_additional":' || coalesce(to_json(is_additional)::VARCHAR, 'null')
+   || ',"match":"' || m || '","multiple":' || to_json(multiple)::VARCHAR || ',"type":' || to_json(question_type)::VARCHAR || '}}') AS revision FROM q""")
 def _(spark, d):
     q = _t(spark, d, "questions")
     return q.select("snapshot_id", "stable_key", content_fingerprint(F.col("text"), F.col("resources"), F.col("answers")).alias("content"), revision_fingerprint(match_fingerprint(F.col("text"), F.col("resources"), F.col("answers")), F.col("question_type"), F.col("multiple"), F.col("is_additional"), F.col("correct_answer_ids"), F.col("answers")).alias("revision"))
@@ -121,32 +134,69 @@ def _(spark, d):
     return quality.record_summary(_t(spark, d, "questions"), by=["snapshot_id"])
 
 
-@_query("position_gaps", """WITH s AS (SELECT DISTINCT snapshot_id, position_no FROM questions WHERE position_no IS NOT NULL), g AS (SELECT snapshot_id, coalesce(lag(position_no) OVER (PARTITION BY snapshot_id ORDER BY position_no), 0) AS before, position_no AS after FROM s)
+#: Positions with a gap after every fifty, since the supplied ones have none.
+_GAPPED = "position_no + CAST(floor(position_no / 50) AS INT)"
+
+
+@_query("position_gaps", f"""WITH s AS (SELECT DISTINCT snapshot_id, {_GAPPED} AS position_no FROM questions WHERE position_no IS NOT NULL), g AS (SELECT snapshot_id, coalesce(lag(position_no) OVER (PARTITION BY snapshot_id ORDER BY position_no), 0) AS before, position_no AS after FROM s)
  SELECT snapshot_id, before, after FROM g WHERE after <> before + 1""")
 def _(spark, d):
-    return quality.position_gaps(_t(spark, d, "questions"), by=["snapshot_id"], position="position_no")
+    return quality.position_gaps(_t(spark, d, "questions").withColumn("position_no", F.expr(_GAPPED)), by=["snapshot_id"], position="position_no")
+
+
+def _broken(n: int, new: str, old: str) -> str:
+    return f"CASE WHEN position_no % 11 = {n} THEN {new} ELSE {old} END"
+
 
+#: The supplied questions break no rule; each of these changes breaks one or two in an eleventh of the rows.
+_BROKEN = {
+    "text": _broken(0, "''", "text"), "multiple": _broken(4, "NOT multiple", "multiple"), "position_no": _broken(6, "-position_no", "position_no"), "id_status": _broken(7, "'unresolved'", "id_status"),
+}
 
-@_query("question_violations")
+
+@_query("question_violations", f"""WITH q AS (SELECT snapshot_id, stable_key, position_no AS place, official_id, question_type, {_BROKEN["text"]} AS text, {_broken(0, "[]", "resources")} AS resources, {_broken(5, "answers[1:1]", "answers")} AS answers,
+   CASE position_no % 11 WHEN 1 THEN list_concat(correct_answer_ids, correct_answer_ids) WHEN 2 THEN ['zz'] WHEN 3 THEN [] ELSE correct_answer_ids END AS given, {_BROKEN["multiple"]} AS multiple, {_BROKEN["position_no"]} AS position_no, {_BROKEN["id_status"]} AS id_status FROM questions),
+ x AS (SELECT *, list_transform(answers, lambda a: a.id) AS ids, list_transform(list_filter(answers, lambda a: a.correct), lambda a: a.id) AS rights FROM q),
+ b AS (SELECT snapshot_id, stable_key, place, unnest([CASE WHEN (length(text) > 0 OR len(resources) > 0) IS NOT TRUE THEN 'content' END,
+  CASE WHEN (CASE WHEN official_id IS NULL THEN position_no = 1 AND id_status = 'unresolved_initial_html' ELSE id_status = 'official' END) IS NOT TRUE THEN 'official_id' END,
+  CASE WHEN (len(list_distinct(ids)) = len(ids)) IS NOT TRUE THEN 'answer_ids_unique' END, CASE WHEN (len(answers) >= 2) IS NOT TRUE THEN 'at_least_two_answers' END,
+  CASE WHEN (len(list_distinct(given)) = len(given)) IS NOT TRUE THEN 'correct_ids_unique' END, CASE WHEN (len(list_filter(given, lambda g: NOT list_contains(ids, g))) = 0) IS NOT TRUE THEN 'correct_ids_known' END,
+  CASE WHEN (list_sort(rights) = list_sort(given)) IS NOT TRUE THEN 'correct_flags' END, CASE WHEN (multiple = (question_type = 'multiple')) IS NOT TRUE THEN 'multiple_flag' END,
+  CASE WHEN (CASE WHEN question_type = 'multiple' THEN len(given) >= 2 ELSE len(given) = 1 END) IS NOT TRUE THEN 'correct_count' END, CASE WHEN (position_no > 0) IS NOT TRUE THEN 'position' END]) AS rule FROM x)
+ SELECT snapshot_id, coalesce(stable_key, '') AS stable_key, place, rule, count(*) AS n FROM b WHERE rule IS NOT NULL GROUP BY 1, 2, 3, 4""")
 def _(spark, d):
-    q = _t(spark, d, "questions").withColumn("row_key", F.concat_ws("|", "snapshot_id", "stable_key", F.col("position_no").cast("string")))
-    return quality.violations(q, id="row_key", rules=quality.question_rules()).groupBy("rule").agg(F.count("*").alias("n"))
+    q = _t(spark, d, "questions").withColumn("row_key", F.to_json(F.struct("snapshot_id", F.coalesce("stable_key", F.lit("")).alias("stable_key"), F.col("position_no").alias("place"))))
+    r = F.pmod("position_no", F.lit(11))
+    given = F.when(r == 1, F.concat("correct_answer_ids", "correct_answer_ids")).when(r == 2, F.array(F.lit("zz"))).when(r == 3, F.array().cast("array<string>")).otherwise(F.col("correct_answer_ids"))
+    resources = F.when(r == 0, F.filter("resources", lambda x: F.lit(False))).otherwise(F.col("resources"))
+    q = q.withColumns({**{k: F.expr(v) for k, v in _BROKEN.items()}, "resources": resources, "answers": F.when(r == 5, F.slice("answers", 1, 1)).otherwise(F.col("answers")), "correct_answer_ids": given})
+    broken = quality.violations(q, id="row_key", rules=quality.question_rules()).groupBy("row_key", "rule").agg(F.count("*").alias("n"))
+    return broken.select(F.from_json("row_key", "snapshot_id string, stable_key string, place int").alias("k"), "rule", "n").select("k.*", "rule", "n")
 
 
-@_query("published_violations", """SELECT rule, count(*) AS n FROM (
- SELECT unnest([CASE WHEN (document_id = source_pdf_sha256) IS NOT TRUE THEN 'document_is_source' END, CASE WHEN (reference_id = document_id || ':' || order_no) IS NOT TRUE THEN 'reference_id' END,
-  CASE WHEN (page >= 1 AND order_no >= 1) IS NOT TRUE THEN 'positions' END, CASE WHEN (len(memberships) >= 1) IS NOT TRUE THEN 'memberships' END,
-  CASE WHEN (correctness_known = (published_correct_answer_indexes IS NOT NULL)) IS NOT TRUE THEN 'known_has_indexes' END]) AS rule FROM published_questions) WHERE rule IS NOT NULL GROUP BY rule""")
+@_query("published_violations", """WITH p AS (SELECT reference_id, document_id, source_pdf_sha256, order_no, CASE WHEN page % 5 = 0 THEN 0 ELSE page END AS page, memberships, correctness_known, published_answers, published_correct_answer,
+   CASE page % 5 WHEN 1 THEN CASE WHEN published_correct_answer_indexes IS NOT NULL THEN list_concat(published_correct_answer_indexes, published_correct_answer_indexes) END WHEN 2 THEN list_transform(published_correct_answer_indexes, lambda i: i + 1) ELSE published_correct_answer_indexes END AS idx FROM published_questions)
+ SELECT reference_id, rule, count(*) AS n FROM (SELECT reference_id, unnest([CASE WHEN (document_id = source_pdf_sha256) IS NOT TRUE THEN 'document_is_source' END, CASE WHEN (reference_id = document_id || ':' || order_no) IS NOT TRUE THEN 'reference_id' END,
+  CASE WHEN (page >= 1 AND order_no >= 1) IS NOT TRUE THEN 'positions' END, CASE WHEN (len(memberships) >= 1) IS NOT TRUE THEN 'memberships' END, CASE WHEN (correctness_known = (idx IS NOT NULL)) IS NOT TRUE THEN 'known_has_indexes' END,
+  CASE WHEN idx IS NOT NULL AND (len(idx) > 0 AND len(list_distinct(idx)) = len(idx) AND len(list_filter(idx, lambda i: i >= 0 AND i < len(published_answers))) = len(idx)) IS NOT TRUE THEN 'indexes' END,
+  CASE WHEN len(idx) = 1 AND (published_answers[idx[1] + 1] = published_correct_answer) IS NOT TRUE THEN 'single_index' END]) AS rule FROM p) WHERE rule IS NOT NULL GROUP BY 1, 2""")
 def _(spark, d):
-    rules = quality.published_rules()
-    some = {k: rules[k] for k in ("document_is_source", "reference_id", "positions", "memberships", "known_has_indexes")}
-    return quality.violations(_t(spark, d, "published_questions"), id="reference_id", rules=some).groupBy("rule").agg(F.count("*").alias("n"))
+    # pages and positions of correct answers are changed in a part of the rows, which break few rules as supplied
+    r, at = F.pmod("page", F.lit(5)), F.col("published_correct_answer_indexes")
+    p = _t(spark, d, "published_questions").withColumns({"published_correct_answer_indexes": F.when(r == 1, F.concat(at, at)).when(r == 2, F.transform(at, lambda i: i + 1)).otherwise(at), "page": F.when(r == 0, 0).otherwise(F.col("page"))})
+    return quality.violations(p, id="reference_id", rules=quality.published_rules()).groupBy("reference_id", "rule").agg(F.count("*").alias("n"))
+
 
+#: Each fifth of the urls is spoilt in its way, since the supplied ones are sound.
+_SPOILT = "CASE bytes % 7 WHEN 0 THEN replace(url, 'https', 'http') WHEN 1 THEN concat(url, '#top') WHEN 2 THEN replace(url, '/testing_bucket/', '/testing_bucket/../') WHEN 3 THEN replace(url, ':85', '') WHEN 4 THEN concat(url, '%2e%2e') ELSE url END"
 
-@_query("url_violations", """SELECT url, count(*) AS n FROM media_records WHERE url IS NOT NULL AND NOT regexp_matches(url, '^https://media\\.simulator\\.example:85/testing_bucket/[^?#%\\\\]+$') GROUP BY url""")
+
+@_query("url_violations", f"""WITH m AS (SELECT {_SPOILT} AS url FROM media_records WHERE url IS NOT NULL) SELECT url, count(*) AS n FROM m
+ WHERE NOT regexp_matches(url, '^https://media\\.simulator\\.example:85/testing_bucket/[^#\\\\]+$') OR regexp_matches(url, '(^|/)\\.{{1,2}}(/|$)') OR regexp_matches(url, '(?i)/(\\.|%2e){{1,2}}(/|$)') GROUP BY url""")
 def _(spark, d):
     ok = quality.url_rule(F.col("url"), host="media.simulator.example", port=85, prefix="/testing_bucket/")
-    return _t(spark, d, "media_records").where(F.col("url").isNotNull() & ~ok).groupBy("url").agg(F.count("*").alias("n"))
+    m = _t(spark, d, "media_records").where("url is not null").select(F.expr(_SPOILT).alias("url"))
+    return m.where(~ok).groupBy("url").agg(F.count("*").alias("n"))
 
 
 @_query("uuid_ids", "SELECT count(*) AS rows, count(*) FILTER (regexp_matches(official_id, '^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$')) AS valid FROM questions")
@@ -165,9 +215,12 @@ def _(spark, d):
     return quality.repeated_keys(_t(spark, d, "questions"), key="official_id")
 
 
-@_query("referential_integrity", "SELECT DISTINCT p.document_id FROM published_questions p WHERE p.document_id IS NOT NULL AND p.document_id NOT IN (SELECT document_id FROM memberships WHERE document_id IS NOT NULL)")
+@_query("referential_integrity", """WITH p AS (SELECT reference_id, CASE WHEN page % 9 = 0 THEN 'gone:' || document_id ELSE document_id END AS document_id FROM published_questions)
+ SELECT p.document_id, count(*) AS n FROM p WHERE p.document_id IS NOT NULL AND p.document_id NOT IN (SELECT document_id FROM memberships WHERE document_id IS NOT NULL) GROUP BY 1""")
 def _(spark, d):
-    return quality.orphans(_t(spark, d, "published_questions"), _t(spark, d, "memberships"), on={"document_id": "document_id"}).select("document_id").distinct()
+    # documents of some pages are renamed: as supplied none is missing
+    child = _t(spark, d, "published_questions").withColumn("document_id", F.expr("CASE WHEN page % 9 = 0 THEN concat('gone:', document_id) ELSE document_id END"))
+    return quality.orphans(child, _t(spark, d, "memberships"), on={"document_id": "document_id"}).groupBy("document_id").agg(F.count("*").alias("n"))
 
 
 # ---- media, store, manifest
@@ -224,10 +277,14 @@ def _(spark, d):
     return rollups.code_tree(_t(spark, d, "documents"), code="topic_code")
 
 
-@_query("canonical_titles", """WITH n AS (SELECT lower(topic_title) AS title_key, topic_title AS title, count(*) AS n FROM memberships WHERE topic_title IS NOT NULL GROUP BY 1, 2)
+_TITLE_KEY = f"coalesce(nullif({duck.topic("coalesce(topic_title, '')")}, ''), '[untitled section] ' || {duck.topic("coalesce(topic_code, '')")})"
+
+
+@_query("canonical_titles", f"""WITH n AS (SELECT {_TITLE_KEY} AS title_key, coalesce(topic_title, '') AS title, count(*) AS n FROM memberships GROUP BY 1, 2)
  SELECT 'topic_' || substr(sha256(title_key), 1, 16) AS topic_id, title_key, arg_min(title, (-n, title)) AS title, count(*) AS spellings, sum(n)::BIGINT AS rows FROM n GROUP BY title_key""")
 def _(spark, d):
-    return rollups.canonical_titles(_t(spark, d, "memberships"), title="topic_title", key=F.lower("topic_title"))
+    m = _t(spark, d, "memberships").select(F.coalesce("topic_title", F.lit("")).alias("title"), tx.topic_text(F.coalesce("topic_title", F.lit(""))).alias("_t"), tx.topic_text(F.coalesce("topic_code", F.lit(""))).alias("_c"))
+    return rollups.canonical_titles(m, title="title", key=F.when(F.col("_t") != "", F.col("_t")).otherwise(F.concat(F.lit("[untitled section] "), F.col("_c"))))
 
 
 @_query("usable_sets", """WITH l AS (SELECT DISTINCT stable_key AS key FROM questions WHERE stable_key IS NOT NULL AND question_type = 'single'), r AS (SELECT DISTINCT stable_key AS key FROM questions WHERE stable_key IS NOT NULL AND len(resources) > 0),
@@ -241,22 +298,24 @@ def _(spark, d):
 # ---- text profiles and evidence
 
 
-@_query("comparison_texts")
+@_query("comparison_texts", f"""SELECT reference_id, {duck.folded("question_text")} AS folded, {duck.compared("question_text")} AS compared, array_to_string({duck.variants("raw_question_text")}, '|') AS variants, {duck.words("question_text")} AS words, {duck.cased("question_text")} AS cased,
+ {duck.topic("question_text")} AS topic, {duck.squeeze("nfc_normalize(question_text)")} AS nfc FROM published_questions""")
 def _(spark, d):
     p = _t(spark, d, "published_questions")
     return p.select("reference_id", tx.folded_text(F.col("question_text")).alias("folded"), tx.comparison_text(F.col("question_text")).alias("compared"), F.array_join(tx.text_variants(F.col("raw_question_text")), "|").alias("variants"), tx.words_text(F.col("question_text")).alias("words"), tx.cased_text(F.col("question_text")).alias("cased"), tx.topic_text(F.col("question_text")).alias("topic"), tx.nfc_text(F.col("question_text")).alias("nfc"))
 
 
-@_query("critical_tokens", """SELECT reference_id, array_to_string(regexp_extract_all(normalized_question_text, '\\d+(?:[.,]\\d+)?'), '|') AS numbers FROM published_questions""")
+@_query("critical_tokens", f"SELECT reference_id, array_to_string({duck.critical(duck.folded('question_text'))}, '|') AS tokens, array_to_string({duck.critical(duck.compared('question_text'), tx.WIDE_LEXICON, '%°')}, '|') AS wide FROM published_questions")
 def _(spark, d):
     p = _t(spark, d, "published_questions")
-    return p.select("reference_id", F.array_join(F.filter(tx.critical_tokens(F.col("normalized_question_text")), lambda x: x.rlike(r"^\d")), "|").alias("numbers"))
+    return p.select("reference_id", F.array_join(tx.critical_tokens(tx.folded_text(F.col("question_text"))), "|").alias("tokens"), F.array_join(tx.wide_tokens(F.col("question_text")), "|").alias("wide"))
 
 
-@_query("critical_signatures")
+@_query("critical_signatures", f"WITH t AS (SELECT reference_id, {duck.topic('question_text')} AS t FROM published_questions) SELECT reference_id, array_to_string({signature_numbers('t')}, '|') AS numbers, array_to_string({signature_words('t')}, '|') AS words FROM t")
 def _(spark, d):
-    p = _t(spark, d, "published_questions")
-    return p.select("reference_id", F.array_join(tx.critical_signature(tx.topic_text(F.col("question_text"))), "|").alias("signature"), F.array_join(tx.wide_tokens(F.col("question_text")), "|").alias("tokens"))
+    s = _t(spark, d, "published_questions").select("reference_id", tx.critical_signature(tx.topic_text(F.col("question_text"))).alias("s"))
+    after = lambda x: F.substring_index(x, ":", -1)
+    return s.select("reference_id", F.array_join(F.transform(F.filter("s", lambda x: x.startswith("number:")), after), "|").alias("numbers"), F.array_join(F.transform("s", lambda x: F.when(x.startswith("number:"), "#").otherwise(after(x))), "|").alias("words"))
 
 
 @_query("picture_dependence", """SELECT reference_id, coalesce(regexp_matches(normalized_question_text, 'рисунк|иллюстрац|изображ|показан|на схем|обозначен|этих судов'), false)
@@ -266,12 +325,17 @@ def _(spark, d):
     return p.select("reference_id", tx.needs_picture(F.col("normalized_question_text"), F.transform("published_answers", F.lower)).alias("needs_picture"))
 
 
-@_query("visual_evidence", """WITH e AS (SELECT vec_id, label, embedding, lead(embedding) OVER (PARTITION BY label ORDER BY vec_id) AS other FROM embeddings)
- SELECT vec_id, round(list_sum(list_transform(list_zip(embedding, other), lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE))) / len(embedding), 6) AS error FROM e WHERE other IS NOT NULL""")
+@_query("visual_evidence", """WITH e AS (SELECT vec_id, label, embedding, list_transform(embedding, lambda x: CAST(floor(x * 40) AS INT)) AS thumb, (vec_id * 2654435761) % 64 AS dhash, (vec_id % 3)::VARCHAR AS sha FROM embeddings),
+ p AS (SELECT a.*, lead(thumb) OVER w AS thumb2, lead(dhash) OVER w AS dhash2, lead(sha) OVER w AS sha2, lead(vec_id) OVER w AS vec2 FROM e a WINDOW w AS (PARTITION BY label ORDER BY vec_id)),
+ v AS (SELECT vec_id, sha = sha2 AS same, list_sum(list_transform(list_zip(thumb, thumb2), lambda z: abs(z[1] - z[2])))::DOUBLE / len(thumb) AS error, bit_count(xor(dhash, dhash2))::INT AS bits, round(abs((1.0 + vec_id % 4) / (1.0 + vec2 % 4) - 1), 6) AS aspect FROM p WHERE vec2 IS NOT NULL)
+ SELECT vec_id, CASE WHEN same THEN 'pixels_equal' ELSE 'visual_comparison' END AS kind, same OR (error <= 8 AND bits <= 6) AS support, same OR (error <= 2 AND bits <= 2) AS strict, CASE WHEN NOT same THEN round(error, 4) END AS error, CASE WHEN NOT same THEN bits END AS bits, CASE WHEN NOT same THEN aspect END AS aspect FROM v""")
 def _(spark, d):
-    e = _t(spark, d, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("a"))
-    e = e.withColumn("b", F.lead("a").over(Window.partitionBy("label").orderBy("vec_id"))).where("b is not null")
-    return e.select("vec_id", F.round(sim.mean_error(F.col("a"), F.col("b")), 6).alias("error"))
+    look = F.struct(F.expr("CAST(vec_id % 3 AS STRING)").alias("pixel_sha256"), F.expr("CAST(1.0 + vec_id % 4 AS DOUBLE)").alias("aspect"), F.transform("embedding", lambda x: F.floor(x * 40).cast("int")).alias("thumbnail"), F.expr("(vec_id * 2654435761) % 64").alias("dhash"))
+    e = _t(spark, d, "embeddings").select("vec_id", "label", look.alias("a"))
+    w = Window.partitionBy("label").orderBy("vec_id")
+    e = e.withColumn("b", F.lead("a").over(w)).withColumn("other", F.lead("vec_id").over(w)).where("other is not null")
+    one = lambda c: F.array(F.col(c).cast("string"))
+    return e.select("vec_id", sim.visual_evidence(one("vec_id"), one("other"), F.col("a"), F.col("b")).alias("v")).select("vec_id", "v.kind", "v.support", "v.strict", "v.error", "v.bits", "v.aspect")
 
 
 @_query("bag_differences", """WITH s AS (SELECT stable_key, snapshot_id, list_sort(list_transform(answers, lambda a: a.text)) AS t FROM questions WHERE stable_key IS NOT NULL AND len(answers) > 0),
@@ -304,13 +368,16 @@ def _(spark, d):
     return linkage.topic_consensus(x, topic="topic", prefix="document_id", position="doc_id").select("l", "kind", "primary", F.array_join("topics", "|").alias("topics"))
 
 
-@_query("order_audit", """WITH e AS (SELECT user_id, event_id, event_type, props FROM events), t AS (SELECT user_id, event_id FROM e WHERE event_type = 'error'), a AS (SELECT user_id, event_id FROM e WHERE event_type = 'purchase')
- SELECT t.user_id, t.event_id, coalesce((SELECT string_agg(x.event_id, ',' ORDER BY x.event_id) FROM (SELECT a.event_id FROM a WHERE a.user_id = t.user_id AND a.event_id < t.event_id ORDER BY a.event_id DESC LIMIT 2) x), '') AS before,
- coalesce((SELECT string_agg(x.event_id, ',' ORDER BY x.event_id) FROM (SELECT a.event_id FROM a WHERE a.user_id = t.user_id AND a.event_id > t.event_id ORDER BY a.event_id LIMIT 2) x), '') AS after FROM t""")
+_SIDE = lambda op, way: f"coalesce((SELECT list(x.topic ORDER BY x.o) FROM (SELECT a.topic, a.o FROM a WHERE a.g = t.g AND a.o {op} t.o ORDER BY a.o {way} LIMIT 2) x), [])"
+
+
+@_query("order_audit", f"""WITH e AS (SELECT document_id AS g, doc_id AS o, split_part(topic_code, '.', 1) AS topic FROM documents WHERE document_id IS NOT NULL), a AS (SELECT * FROM e WHERE topic IS NOT NULL), t AS (SELECT g, o FROM e WHERE topic IS NULL),
+ s AS (SELECT t.g, t.o, {_SIDE('<', 'DESC')} AS b, {_SIDE('>', 'ASC')} AS f FROM t), u AS (SELECT *, len(b) = 2 AND len(list_distinct(b)) = 1 AS sb, len(f) = 2 AND len(list_distinct(f)) = 1 AS sf FROM s)
+ SELECT g AS document_id, o AS doc_id, array_to_string(b, ',') AS before, array_to_string(f, ',') AS after, sb AS same_before, sf AS same_after, sb AND sf AND b[1] = f[1] AS same_both, sb AND sf AND b[1] <> f[1] AS transition FROM u""")
 def _(spark, d):
-    e = _t(spark, d, "events").withColumn("c", F.col("event_id").cast("string"))
-    got = layout.nearest(e.where("event_type = 'error'"), e.where("event_type = 'purchase'"), by=["user_id"], order="event_id", k=2, carry="event_id")
-    return got.select("user_id", "event_id", F.array_join(F.col("before").cast("array<string>"), ",").alias("before"), F.array_join(F.col("after").cast("array<string>"), ",").alias("after"))
+    x = _t(spark, d, "documents").where("document_id is not null").select("document_id", "doc_id", F.split_part("topic_code", F.lit("."), F.lit(1)).alias("topic"), F.when(F.col("topic_code").isNull(), "unmatched").otherwise("exact").alias("tier"))
+    got = rollups.order_audit(x, by=["document_id"], order="doc_id", topic="topic", tier="tier", anchors=["exact", "strong"], targets=["unmatched"], k=2)
+    return got.withColumns({"before": F.array_join("before", ","), "after": F.array_join("after", ",")})
 
 
 # ---- layout-like operators
@@ -343,13 +410,14 @@ def _(spark, d):
     return layout.adjacent_bands(rules, page=["document_id", "page"], y="y", least=18.0)
 
 
-@_query("cell_assignment", """WITH c AS (SELECT document_id, page, reference_id, unnest(row_refs) AS r FROM published_questions), g AS (SELECT DISTINCT document_id, page, reference_id, r.top AS top, r.bottom AS bottom FROM c WHERE r.page = page),
- i AS (SELECT DISTINCT document_id, page, reference_id AS item, (r.top + r.bottom) / 2 AS y FROM c WHERE r.page = page) SELECT i.item, i.y, count(*) AS cells FROM i JOIN g ON i.document_id = g.document_id AND i.page = g.page AND i.y >= g.top AND i.y < g.bottom GROUP BY 1, 2""")
+@_query("cell_assignment", """WITH c AS (SELECT document_id, page, reference_id, order_no, unnest(row_refs) AS r FROM published_questions), g AS (SELECT DISTINCT document_id, page, reference_id AS cell, r.top AS top, r.bottom AS bottom, (order_no % 3)::DOUBLE AS lft FROM c WHERE r.page = page),
+ i AS (SELECT DISTINCT document_id, page, reference_id AS item, (r.top + r.bottom) / 2 AS y, order_no % 4 + 0.5 AS x FROM c WHERE r.page = page) SELECT i.item, g.cell, i.y, i.x::DOUBLE AS x FROM i JOIN g ON i.document_id = g.document_id AND i.page = g.page AND i.y >= g.top - 1 AND i.y < g.bottom AND i.x >= g.lft AND i.x < g.lft + 1.25""")
 def _(spark, d):
-    c = _t(spark, d, "published_questions").select("document_id", "page", "reference_id", F.explode("row_refs").alias("r")).where("r.page = page")
-    cells = c.select("document_id", "page", "reference_id", F.col("r.top").alias("top"), F.col("r.bottom").alias("bottom"), F.lit(0.0).alias("left"), F.lit(2.0).alias("right")).distinct()
-    items = c.select("document_id", "page", F.col("reference_id").alias("item"), ((F.col("r.top") + F.col("r.bottom")) / 2).alias("y"), F.lit(1.0).alias("x")).distinct()
-    return layout.in_cells(items, cells, page=["document_id", "page"], x="x", y="y").groupBy("item", "y").agg(F.count("*").alias("cells"))
+    c = _t(spark, d, "published_questions").select("document_id", "page", "reference_id", "order_no", F.explode("row_refs").alias("r")).where("r.page = page")
+    left = (F.col("order_no") % 3).cast("double")
+    cells = c.select("document_id", "page", F.col("reference_id").alias("cell"), F.col("r.top").alias("top"), F.col("r.bottom").alias("bottom"), left.alias("left"), (left + 1.25).alias("right")).distinct()
+    items = c.select("document_id", "page", F.col("reference_id").alias("item"), ((F.col("r.top") + F.col("r.bottom")) / 2).alias("y"), (F.col("order_no") % 4 + 0.5).cast("double").alias("x")).distinct()
+    return layout.in_cells(items, cells, page=["document_id", "page"], x="x", y="y", slack=1.0).select("item", "cell", "y", "x")
 
 
 # ---- streaming

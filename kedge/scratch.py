@@ -56,6 +56,15 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+#: Rows of a piece of a range-partitioned table.
+PIECE_ROWS = 500_000
+
+
+def pieces(df: DataFrame) -> int:
+    """Range partitions for ``df``: as many as the session shuffles into, more if a piece would exceed ``PIECE_ROWS``."""
+    return max(partitions(df), -(-df.count() // PIECE_ROWS))
+
+
 def release(df: DataFrame | None = None) -> None:
     """Delete the files of a ``table`` that is not needed any more; without one, of all tables so far.
 

@@ -59,11 +59,14 @@ def write_lines(df: DataFrame, path: str, *, order: list[str]) -> None:
 def put_objects(df: DataFrame, root: str) -> None:
     """Append the bodies of ``df.content`` that the store at ``root`` lacks, keyed by their SHA-256.
 
-    Repeated bodies are kept once; nothing is rewritten; null bodies are left out.
+    Repeated bodies are kept once; nothing is rewritten; null bodies are left out. A body
+    that is already stored is hashed again where it lies: if it was damaged, nothing is added and the call fails.
     """
     new = df.where("content is not null").select(F.sha2("content", 256).alias("sha256"), "content", F.octet_length("content").cast("bigint").alias("bytes")).dropDuplicates(["sha256"])
-    there = table_or_empty(df.sparkSession, root, OBJECTS).select("sha256")
-    new.join(there, "sha256", "left_anti").write.mode("append").parquet(root)
+    there = table_or_empty(df.sparkSession, root, OBJECTS)
+    held = there.join(new.select("sha256"), "sha256", "left_semi")
+    require(held.where(F.sha2("content", 256) != F.col("sha256")).isEmpty(), "a stored object is damaged")
+    new.join(there.select("sha256"), "sha256", "left_anti").write.mode("append").parquet(root)
 
 
 def damaged_objects(spark: SparkSession, root: str) -> DataFrame:

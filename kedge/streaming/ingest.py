@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from pathlib import Path
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from kedge.sources.store import PipelineError
+from kedge.sources.store import PipelineError, atomic_json
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, *, format: str = "parquet", files_per_batch: int = 1) -> DataFrame:
@@ -52,6 +53,25 @@ def drifting_totals(total: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.agg(F.countDistinct(total).alias("n")).where("n > 1")
 
 
+def steady_total(total: str, state: str) -> Callable[[DataFrame], DataFrame]:
+    """Check for ``checked``: a reported total other than the first one of the stream, in whichever batch.
+
+    The first total is kept in the file ``state``, next to the checkpoint, so a restart goes on with it.
+    """
+
+    def check(df: DataFrame) -> DataFrame:
+        at = Path(state)
+        seen = df.where(F.col(total).isNotNull())
+        if not at.exists():
+            first = seen.agg(F.min(total).alias("t")).collect()[0]["t"]
+            if first is None:
+                return seen.limit(0)
+            atomic_json(at, {"total": first})
+        return seen.where(F.col(total) != F.lit(json.loads(at.read_text())["total"]))
+
+    return check
+
+
 def windowed_counts(df: DataFrame, *, time: str, window: str, late: str, by: list[str]) -> DataFrame:
     """Event-time counts by window, closed once the watermark passes."""
     return df.withWatermark(time, late).groupBy(F.window(time, window), *by).agg(F.count("*").alias("n"))
