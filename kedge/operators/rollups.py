@@ -160,3 +160,16 @@ def answer_check(live: Column, media: Column, published: Column, known: Column,
         F.when(~F.coalesce(known, F.lit(False)), "unknown_correctness").when(~comparable, "not_comparable").when(one == published, "same")
         .when(F.array_contains(readings, tx.answer_key(one)), "wording_changed").otherwise("different")
     )
+
+
+def annotated(pairs: DataFrame, titles: DataFrame, *, title: str, key: Column) -> DataFrame:
+    """``pairs`` with ``topic``, the row of ``canonical_titles`` their title belongs to, and ``membership``, where they come from.
+
+    A title without a canonical topic fails the job. ``key`` is the title's normal form, an
+    expression over ``pairs``; prefix and position are kept if there are such columns.
+    """
+    held = titles.select(F.col("title_key").alias("_k"), F.struct("topic_id", "title", "title_key").alias("topic"))
+    out = pairs.withColumn("_t", key).join(held, F.col("_t") == F.col("_k"), "left")
+    topic = F.when(F.col("topic").isNull(), F.raise_error(F.lit("a title has no canonical topic"))).otherwise(F.col("topic"))
+    source = [F.col(c) for c in ("prefix", "position") if c in pairs.columns] + [F.col(title).alias("printed")]
+    return out.withColumn("topic", topic).withColumn("membership", F.struct(*source)).drop("_t", "_k")

@@ -14,7 +14,7 @@ from kedge import scratch
 from kedge.functions import similarity as sim
 from kedge.functions import text as tx
 from kedge.functions.identity import content_fingerprint, is_uuid, match_fingerprint, revision_fingerprint, short_id, stable_key
-from kedge.operators import compare, layout, linkage, quality, rollups
+from kedge.operators import compare, layout, linkage, metrics, pages, quality, rollups
 from kedge.plans import duck
 from kedge.plans.links import signature_numbers, signature_words
 from kedge.sources import store
@@ -420,6 +420,59 @@ def _(spark, d):
     return layout.in_cells(items, cells, page=["document_id", "page"], x="x", y="y", slack=1.0).select("item", "cell", "y", "x")
 
 
+#: Rows a page, height of a row, and words of a line when published questions are set as pages.
+_ROWS, _HEIGHT, _WORDS = 4, 130, 6
+
+
+@_query("parsed_questions", f"""WITH p AS (SELECT DISTINCT ON (reference_id) reference_id, document_id, order_no, {duck.squeeze("question_text")} AS q, coalesce(published_answers, []) AS a, coalesce(published_correct_answer_indexes, []) AS at0 FROM published_questions ORDER BY reference_id),
+ n AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY order_no, reference_id) AS r, list_transform(a, lambda x: {duck.squeeze("x")}) AS texts FROM p), m AS (SELECT *, CASE WHEN len(at0) = 1 AND at0[1] < len(a) THEN at0[1] END AS known FROM n)
+ SELECT document_id AS document, r::INT AS order_no, q AS question_text, array_to_string(texts, '|') AS answers, known, CASE WHEN len(texts) = 1 THEN 'published_answer_only' WHEN len(texts) = 4 AND known IS NOT NULL THEN 'full_options' ELSE 'unknown' END AS structure FROM m""")
+def _(spark, d):
+    # the published rows set as table pages, and read back from the geometry
+    p = _t(spark, d, "published_questions").dropDuplicates(["reference_id"])
+    w = Window.partitionBy("document_id").orderBy("order_no", "reference_id")
+    p = p.select(F.col("document_id").alias("document"), tx.squeeze(F.col("question_text")).alias("q"), F.coalesce("published_answers", F.array().cast("array<string>")).alias("a"), F.coalesce("published_correct_answer_indexes", F.array().cast("array<int>")).alias("at"), (F.row_number().over(w) - 1).alias("r"))
+    p = scratch.table(p.withColumns({"page": (F.floor(F.col("r") / _ROWS) + 1).cast("int"), "top": (50.0 + F.pmod("r", F.lit(_ROWS)) * _HEIGHT)}), "set")
+    words = F.split("q", " ")
+    def span(x: float, down: Column, text: Column, bold: Column) -> Column:
+        return F.struct(F.lit(x).alias("x0"), down.cast("double").alias("y0"), F.lit(x + 10).alias("x1"), (down + 10).cast("double").alias("y1"), text.alias("text"), bold.alias("bold"))
+
+    no = F.lit(False)
+    question = [span(90.0, F.col("top") + 5, F.array_join(F.slice(words, 1, _WORDS), " "), no), span(90.0, F.col("top") + 17, F.array_join(F.slice(words, F.lit(_WORDS + 1), F.greatest(F.size(words) - _WORDS, F.lit(0))), " "), no)]
+    answers = F.transform("a", lambda t, i: span(510.0, F.col("top") + 5 + 12 * i, F.concat(F.lit("• "), t), F.array_contains("at", i)))
+    spans = p.select("document", "page", F.explode(F.concat(F.array(span(40.0, F.col("top") + 5, F.concat((F.col("r") + 1).cast("string"), F.lit(".")), no), *question), answers)).alias("s")).select("document", "page", "s.*")
+    xs = (30.0, 80.0, 300.0, 500.0, 800.0)
+    box = lambda x0, y0, x1, y1: F.struct(x0.cast("double").alias("x0"), y0.cast("double").alias("y0"), x1.cast("double").alias("x1"), y1.cast("double").alias("y1"))
+    across = [box(F.lit(xs[0]), y, F.lit(xs[1]), y + 0.5) for y in (F.col("top"), F.col("top") + _HEIGHT)]
+    down = [box(F.lit(x), F.col("top"), F.lit(x + 0.5), F.col("top") + _HEIGHT) for x in xs]
+    drawings = p.select("document", "page", F.explode(F.array(*across, *down)).alias("b")).select("document", "page", "b.*").distinct()
+    records, _ = pages.numbered_questions(spans, drawings, legend=p.select("document", F.lit(True).alias("legend")).distinct())
+    return records.select("document", "order_no", "question_text", F.array_join("published_answers", "|").alias("answers"), F.get("published_correct_answer_indexes", F.lit(0)).alias("known"), F.col("answer_structure").alias("structure"))
+
+
+# ---- metrics of parsed corpora and of crosswalks
+
+
+@_query("parse_metrics", """WITH p AS (SELECT DISTINCT ON (reference_id) * FROM published_questions ORDER BY reference_id), m AS (SELECT normalized_question_text AS t, x.category AS c, x.dimension AS d, x.topic_code AS tc FROM (SELECT normalized_question_text, unnest(memberships) AS x FROM p)),
+ g AS (SELECT normalized_question_text AS t, count(*) AS n FROM p GROUP BY 1), k AS (SELECT t, count(DISTINCT c) AS cs, count(DISTINCT (d, c, coalesce(tc, ''))) AS ts FROM m GROUP BY 1),
+ e AS (SELECT count(*) AS n FROM p GROUP BY question_text, published_answers, list_sort(list_transform(coalesce(illustration_refs, []), lambda r: r.sha256)))
+ SELECT 'questions' AS metric, (SELECT count(*) FROM p) AS value UNION ALL SELECT 'documents', (SELECT count(DISTINCT document_id) FROM p) UNION ALL SELECT 'unique_texts', (SELECT count(*) FROM g) UNION ALL SELECT 'repeated_text_groups', (SELECT count(*) FROM g WHERE n > 1)
+ UNION ALL SELECT 'excess_texts', (SELECT sum(n - 1) FROM g)::BIGINT UNION ALL SELECT 'texts_in_several_categories', (SELECT count(*) FROM k WHERE cs > 1) UNION ALL SELECT 'texts_in_several_topics', (SELECT count(*) FROM k WHERE ts > 1)
+ UNION ALL SELECT 'exact_duplicates', (SELECT sum(n - 1) FROM e)::BIGINT UNION ALL SELECT 'unique_pictures', (SELECT count(DISTINCT x.sha256) FROM (SELECT unnest(illustration_refs) AS x FROM p))
+ UNION ALL SELECT 'correctness_known', (SELECT count(*) FROM p WHERE correctness_known) UNION ALL SELECT 'structure:' || answer_structure, count(*) FROM p GROUP BY answer_structure UNION ALL SELECT 'issue:' || i, count(*) FROM (SELECT unnest(issues) AS i FROM p) GROUP BY i
+ UNION ALL SELECT 'answers:' || coalesce(len(published_answers), 0), count(*) FROM p GROUP BY coalesce(len(published_answers), 0)""")
+def _(spark, d):
+    p = _t(spark, d, "published_questions").dropDuplicates(["reference_id"])
+    return metrics.parse_metrics(p)
+
+
+@_query("inventory_metrics", """SELECT 'memberships' AS metric, count(*)::BIGINT AS value FROM memberships UNION ALL SELECT 'urls', count(DISTINCT pdf_url) FROM memberships UNION ALL SELECT 'documents', count(DISTINCT source_pdf_sha256) FROM memberships
+ UNION ALL SELECT 'memberships_of_repeated_urls', coalesce(sum(n), 0)::BIGINT FROM (SELECT count(*) AS n FROM memberships GROUP BY pdf_url HAVING count(*) > 1) UNION ALL SELECT 'documents_of_several_urls', count(*) FROM (SELECT 1 FROM memberships GROUP BY source_pdf_sha256 HAVING count(DISTINCT pdf_url) > 1)
+ UNION ALL SELECT 'repeated_links', coalesce(sum(link_occurrences - 1), 0)::BIGINT FROM memberships UNION ALL SELECT 'category:' || dimension || '/' || category, count(*) FROM memberships GROUP BY dimension, category""")
+def _(spark, d):
+    return metrics.inventory_metrics(_t(spark, d, "memberships"))
+
+
 # ---- streaming
 
 

@@ -58,8 +58,27 @@ def id_list(c: Column) -> Column:
     return F.when((F.size(ids) > 0) & F.forall(ids, lambda x: x.rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")), ids)
 
 
+def item_problem(raw: Column) -> Column:
+    """Why an item can't be taken: malformed, ended (it holds no question), resources (not a list), valid_answers, missing (a critical field); null if it can."""
+    x = F.from_json(raw, ITEM)
+    q, answers = x["current_question"], x["current_answers"]
+    listed = F.coalesce(F.ltrim(F.get_json_object(raw, "$.current_question.resources_path")).startswith("["), F.lit(False))
+    needed = [q["id"], q["content"], q["type"], x["question_number"], x["questions_count"], x["questions_passed"], answers]
+    some_null = F.exists(answers, lambda a: a["id"].isNull() | a["title"].isNull())
+    return (
+        F.when(F.try_parse_json(raw).isNull(), "malformed").when(q.isNull(), "ended").when(~listed | F.exists(answers, lambda a: a["resources_path"].isNull()), "resources")
+        .when(id_list(x["valid_answers"]).isNull(), "valid_answers").when(F.greatest(*[c.isNull() for c in needed]) | some_null, "missing")
+    )
+
+
+def checked_items(df: DataFrame, *, raw: str) -> tuple[DataFrame, DataFrame]:
+    """(``df`` with ``item`` for the items that can be taken, the others with ``problem``): nothing is taken with nulls in critical fields."""
+    marked = df.withColumn("problem", item_problem(F.col(raw)))
+    return marked.where("problem is null").drop("problem").withColumn("item", items(F.col(raw))), marked.where("problem is not null")
+
+
 def items(raw: Column) -> Column:
-    """Question struct of one item's JSON. Unknown keys are ignored; missing parts are null."""
+    """Question struct of one item's JSON. Unknown keys are ignored; missing parts are null (``checked_items`` rejects them)."""
     x = F.from_json(raw, ITEM)
     right = id_list(x["valid_answers"])
     resource = lambda urls: F.transform(F.coalesce(urls, F.array().cast("array<string>")), lambda u: F.struct(u.alias("url")))

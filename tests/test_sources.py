@@ -2,6 +2,8 @@
 
 import json
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +169,41 @@ def test_streaming_ingest(spark, tmp_path):
     assert spark.read.parquet(str(out)).count() == 6
 
 
+def test_total_is_steady_over_batches(spark, tmp_path):
+    src, out = tmp_path / "src", tmp_path / "out"
+    src.mkdir()
+    stream = ingest.file_stream(spark, str(src), "position int, total int")
+    sink = ingest.checked(ingest.append_once(str(out)), ingest.steady_total("total", str(tmp_path / "total.json")), "another total")
+    for i, total in enumerate((3, 3, 4)):
+        spark.createDataFrame([(i, total)], "position int, total int").coalesce(1).write.mode("append").parquet(str(src))
+        if total == 3:
+            ingest.run_to_end(stream, sink, checkpoint=str(tmp_path / "cp"))
+    with pytest.raises(Exception, match="another total"):
+        ingest.run_to_end(stream, sink, checkpoint=str(tmp_path / "cp"))
+    assert spark.read.parquet(str(out)).count() == 2
+
+
+def test_stored_objects_are_hashed_again(spark, tmp_path):
+    root = str(tmp_path / "objects")
+    store.put_objects(spark.createDataFrame([(b"a",), (b"b",), (None,)], "content binary"), root)
+    store.put_objects(spark.createDataFrame([(b"a",), (b"c",)], "content binary"), root)
+    assert spark.read.parquet(root).count() == 3
+    spark.createDataFrame([("f" * 64, b"zz", 2)], store.OBJECTS).write.mode("append").parquet(root)
+    assert store.damaged_objects(spark, root).count() == 1
+    bad = spark.read.parquet(root).where("sha256 = 'x'").unionByName(spark.createDataFrame([(hashlib.sha256(b"d").hexdigest(), b"not d", 5)], store.OBJECTS))
+    bad.write.mode("append").parquet(root)
+    with pytest.raises(store.PipelineError, match="damaged"):
+        store.put_objects(spark.createDataFrame([(b"d",)], "content binary"), root)
+
+
+def test_items_that_cannot_be_taken(spark):
+    good = '{"current_question":{"id":"q","content":"x","resources_path":[],"type":"single","is_additional":false},"current_answers":[{"id":"0cc7b5a0-1f6e-4b8f-9a50-aaaaaaaaaaaa","title":"t","resources_path":[]}],"questions_count":2,"question_number":1,"questions_passed":0,"valid_answers":"0cc7b5a0-1f6e-4b8f-9a50-aaaaaaaaaaaa"}'
+    raws = [good, "{", good.replace('"content":"x",', ""), good.replace('"resources_path":[],"type"', '"resources_path":"u","type"'), good.replace('"valid_answers":"0cc', '"valid_answers":"zz'), '{"current_question":null}', None]
+    taken, rest = records.checked_items(spark.createDataFrame([(r,) for r in raws], "raw string"), raw="raw")
+    assert [r.item.text for r in taken.collect()] == ["x"]
+    assert sorted(r.problem for r in rest.collect()) == ["ended", "malformed", "malformed", "missing", "resources", "valid_answers"]
+
+
 def test_windowed_stream(spark, tmp_path):
     spark.sql("select timestamp'2025-01-01 00:00:10' as ts, 'a' as k union all select timestamp'2025-01-01 00:01:10', 'a'").write.parquet(str(tmp_path / "s"))
     df = ingest.file_stream(spark, str(tmp_path / "s"), "ts timestamp, k string")
