@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from kedge import scratch
 
 #: Hash buckets of the seeded order, over all patterns; every pattern has one at least.
-BUCKETS = 1 << 17
+BUCKETS = 1 << 13
 #: Most rows of targets and most membership patterns the driver handles; more is an error.
 MAX_TARGETS, MAX_PATTERNS = 1000, 50_000
 #: Most rows of bucket positions that are broadcast.
-BROADCAST_BUCKETS = 1 << 18
+BROADCAST_BUCKETS = 1 << 17
 
 
 @dataclass(frozen=True)
