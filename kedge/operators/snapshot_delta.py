@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from kedge import scratch
 
 #: Pairs of snapshots, and changed keys, that may be broadcast; beyond it the plan joins by shuffle.
-BROADCAST_PAIRS, BROADCAST_CHANGED = 100_000, 200_000
+BROADCAST_PAIRS, BROADCAST_CHANGED = 100_000, 10_000
 
 
 def snapshot_pairs(manifest: DataFrame, *, snapshot: str = "snapshot_id", previous: str = "previous_snapshot", complete: str | None = "complete") -> DataFrame:
