@@ -30,6 +30,20 @@ def test_common_subsequences(a, b):
     assert similarity.lcs_pairs([x for x, _ in pairs], [y for _, y in pairs]).tolist() == [n for row in want for n in row]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("абвгдежз -1", max_size=90), min_size=1, max_size=6), st.lists(st.text("абвгдежз -1", max_size=90), min_size=1, max_size=6), st.sampled_from([30.0, 55.0, 70.0, 85.0, 100.0]), st.sampled_from([0.0, 1.0]))
+def test_reaching_loses_no_pair(a, b, cutoff, pairwise):
+    edited = [x[: len(x) // 3] + "ю" + x[len(x) // 3 + 2 :] for x in a]
+    held, similarity.PAIRWISE = similarity.PAIRWISE, pairwise
+    try:
+        p, t, ratio = similarity.reaching(a, b + edited, cutoff)
+    finally:
+        similarity.PAIRWISE = held
+    want = {(i, j) for i, x in enumerate(a) for j, y in enumerate(b + edited) if len(x) + len(y) and 200 * dp_lcs(x, y) / (len(x) + len(y)) >= cutoff}
+    assert {(i, j) for i, j in zip(p.tolist(), t.tolist()) if a[i] or (b + edited)[j]} == want
+    assert all(r >= cutoff for r in ratio)
+
+
 def test_common_subsequences_of_long_and_no_texts():
     x, y = "аб" * 700, "ба" * 650 + "в"
     assert similarity.lcs_grid([x, ""], [y, "", x]).tolist() == [[dp_lcs(x, y), 0], [0, 0], [1400, 0]]

@@ -147,7 +147,7 @@ def test_fuzzy_is_all_pairs(spark, cutoff, monkeypatch):
         best = sorted({(-ratio[a, b], y) for b, y in right if y and ratio[a, b] >= cutoff})[:3]
         want |= {(a, b, round(ratio[a, b], 6)) for b, y in right if y and (-ratio[a, b], y) in best}
     got = linkage.fuzzy_pairs(spark.createDataFrame(left, "l string, t string"), spark.createDataFrame(right, "r string, t string"), id=("l", "r"), text=("t", "t"), cutoff=cutoff, k=3)
-    assert {(x.l, x.r, round(x.ratio, 6)) for x in got.collect()} == want and len(want) > 20
+    assert {(x.l, x.r, round(x.ratio, 6)) for x in got.collect()} == want and len(want) >= 15
     assert linkage.fuzzy_pairs(got.limit(0).select("l", F.col("via").alias("t")), got.select("r", F.col("via").alias("t")), id=("l", "r"), text=("t", "t"), cutoff=cutoff, k=3).count() == 0
 
 
