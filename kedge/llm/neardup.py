@@ -34,6 +34,9 @@ RECALL = 0.985
 #: Sketch bits; a pair is dropped if its agreement is this many standard deviations below the threshold's.
 BITS, SIGMAS = 128, 3.4
 
+#: Rows of bands a task of their join has on either side.
+BAND_ROWS = 250_000
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -156,7 +159,9 @@ def similar_classes(sets: DataFrame, *, threshold: float, recall: float = RECALL
         raise ValueError("threshold must be over 0 and at most 1")
     count = bands(threshold, recall, rows)
     signed = scratch.table(sets.select("key", "grams").mapInArrow(_signatures(count, rows), "key bigint, s1 bigint, s2 bigint, bands array<bigint>"), "signed")
-    a, b, meet = split.self_join(signed.select("key", "s1", "s2", F.explode("bands").alias("band")), key="band", by="key")
+    spread = signed.count() * count
+    tasks = max(1, min(scratch.partitions(sets), spread // 20_000), spread // BAND_ROWS)
+    a, b, meet = split.self_join(signed.select("key", "s1", "s2", F.explode("bands").alias("band")), key="band", by="key", tasks=tasks)
     differ = BITS - agreement(threshold)
     near = F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1"))) + F.bit_count(F.col("a.s2").bitwiseXOR(F.col("b.s2"))) <= differ
     found = a.join(b, meet & (F.col("a.key") < F.col("b.key")) & near).select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).distinct()

@@ -107,8 +107,7 @@ def p7_overlap(spark: SparkSession, d: str) -> DataFrame:
     """Shares of a mixture of distinct texts, each of which belongs to every source it occurs in."""
     docs = _read(spark, d, "documents").where("source is not null and text is not null")
     held = docs.groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.array_sort(F.collect_set("source")).alias("sources"))
-    texts = docs.select("doc_id", "text").join(held, "doc_id")
-    sized = count_tokens(texts, text="text", keep=["doc_id", "sources"])
+    sized = count_tokens(docs, text="text", keep=["doc_id"]).join(held, "doc_id")
     return mix(sized, _read(spark, d, "mix_targets"), id="doc_id", sources="sources", tokens="tokens", total="shares")[1]
 
 

@@ -42,15 +42,20 @@ def few(hot: DataFrame) -> bool:
     return hot.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
 
 
-def self_join(rows: DataFrame, *, key: str, by: str, most: int | None = None) -> tuple[DataFrame, DataFrame, Column]:
-    """(a, b, condition): two aliased sides and the condition under which all pairs of rows of one key meet once in each order."""
+def self_join(rows: DataFrame, *, key: str, by: str, most: int | None = None, tasks: int | None = None) -> tuple[DataFrame, DataFrame, Column]:
+    """(a, b, condition): two aliased sides and the condition under which all pairs of rows of one key meet once in each order.
+
+    ``tasks`` spreads the join over so many, whatever the session's setting.
+    """
     hot = hot_keys(rows, key, most)
     if hot.isEmpty():
+        rows = rows.repartition(tasks, key) if tasks else rows
         a, b = rows.alias("a"), rows.alias("b")
         return a, b, F.col(f"a.{key}") == F.col(f"b.{key}")
     some = _with_parts(rows, hot, key, few(hot)).withColumn("part", F.pmod(F.xxhash64(by), F.col("parts")).cast("int"))
     each = some.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     each = each.withColumn("cell", F.least("part", "_o") * F.col("parts") + F.greatest("part", "_o")).withColumn("own", F.col("part") == F.col("_o")).drop("_o", "parts")
+    each = each.repartition(tasks, key, "cell") if tasks else each
     a, b = each.alias("a"), each.alias("b")
     return a, b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.cell") == F.col("b.cell")) & ((F.col("a.part") != F.col("b.part")) | F.col("a.own"))
 
