@@ -151,6 +151,26 @@ def test_fuzzy_is_all_pairs(spark, cutoff, monkeypatch):
     assert linkage.fuzzy_pairs(got.limit(0).select("l", F.col("via").alias("t")), got.select("r", F.col("via").alias("t")), id=("l", "r"), text=("t", "t"), cutoff=cutoff, k=3).count() == 0
 
 
+def test_fuzzy_without_jvm_functions(spark, monkeypatch):
+    left = spark.createDataFrame([(f"l{i}", "какое судно уступает дорогу плоту " + "х" * i) for i in range(9)], "l string, t string")
+    right = spark.createDataFrame([(f"r{i}", "какое судно уступает дорогу плотам " + "х" * i) for i in range(9)], "r string, t string")
+    pairs = lambda: rows(linkage.fuzzy_pairs(left, right, id=("l", "r"), text=("t", "t"), cutoff=85.0, k=3), "l", "r", "ratio")
+    want = pairs()
+    monkeypatch.setattr(linkage.kernel, "register", lambda spark: False)
+    monkeypatch.setattr(linkage, "NUMPY_LEFT", 4)
+    monkeypatch.setattr(linkage, "NUMPY_RIGHT", 2)
+    assert pairs() == want and len(want) == 27
+
+
+@pytest.mark.parametrize("cutoff", [55.0, 85.0])
+def test_fuzzy_sends_texts_to_few_blocks(cutoff):
+    # some 120,000 and 540,000 texts of 220 characters, as at 1 GB
+    left, right = 120_000 * 220, 540_000 * 220
+    a, b = linkage._sides(left, right, cutoff, 8)
+    assert (left * -(-right // b) + right * -(-left // a)) * 2 < 4e9 * (1 if cutoff > 80 else 2)
+    assert a * b / 220**2 < 6e8
+
+
 def test_fuzzy_ranks_texts_not_copies(spark):
     left = spark.createDataFrame([("l", "какое судно уступает дорогу плоту")], "l string, t string")
     right = spark.createDataFrame([(f"a{i}", "какое судно уступает дорогу плоту 1") for i in range(5)] + [("z", "какое судно уступает дорогу плотам 22")], "r string, t string")
