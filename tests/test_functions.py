@@ -2,8 +2,10 @@
 
 import hashlib
 import json
+import random
 from itertools import permutations
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -140,3 +142,34 @@ def test_ids(spark):
     assert _one(spark, identity.is_uuid, "0cc7b5a0-1f6e-4b8f-9a50-aaaaaaaaaaaa") and not _one(spark, identity.is_uuid, "x")
     want = "g:" + hashlib.sha256(b"a\n\nb").hexdigest()[:24]
     assert spark.range(1).select(identity.short_id("g:", F.lit("a"), F.lit(None).cast("string"), F.lit("b")).alias("x")).collect()[0].x == want
+
+
+def test_jvm_and_numpy_agree(spark):
+    from kedge.functions import kernel
+
+    assert kernel.register(spark)
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("абвг дежз\U0001f600\U0001f601ﬁ-1") for _ in range(rng.randrange(n)))
+    rows = [(word(300), word(300), [rng.choice([word(30), word(80), "да"]) for _ in range(n)], [rng.choice([word(30), "да", None]) for _ in range(rng.choice([n, n, 3]))]) for n in [rng.randrange(9) for _ in range(120)]]
+    df = spark.createDataFrame([*rows, (None, "а", None, ["x"]), ("", "", [], [])], "a string, b string, x array<string>, y array<string>")
+    for name, cols in (("indel_ratio", "ab"), ("assign_optimal", "xy"), ("assign_greedy", "xy"), ("order_ratio", "xy")):
+        got = df.select(getattr(similarity, name)(*cols).alias("jvm"), getattr(similarity, f"_{name}")(*cols).alias("numpy"))
+        assert "ArrowEvalPython" not in str(df.select(getattr(similarity, name)(*cols))._jdf.queryExecution().executedPlan())
+        assert all(r.jvm == r.numpy for r in got.collect())
+
+
+@pytest.mark.parametrize("share", [0.0, 1.0])
+@pytest.mark.parametrize("cutoff", [40.0, 55.0, 85.0])
+def test_jvm_finds_the_best_of_all_pairs(spark, cutoff, share):
+    from kedge.functions import kernel
+
+    assert kernel.register(spark)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("абвгдежзикл ") for _ in range(n))
+    left = [word(rng.choice([5, 40, 63, 64, 130, 210, 230, 260])) for _ in range(300)]
+    right = [word(rng.choice([5, 63, 210])) for _ in range(40)] + ["".join(c for c in rng.choice(left) if rng.random() > rng.choice([0.02, 0.1, 0.4])) + "ю" for _ in range(560)]
+    block = spark.createDataFrame([(list(enumerate(left)), list(enumerate(right)))], "a array<struct<id:bigint,text:string>>, b array<struct<id:bigint,text:string>>")
+    found = block.select(F.inline(F.call_function("kedge_best", "a", "b", F.lit(cutoff), F.lit(3), F.lit(share)))).collect()
+    p, t, ratio = similarity.reaching(left, right, cutoff)
+    least = {i: sorted(ratio[p == i])[-3:][0] for i in set(p.tolist())}
+    assert {(r.a, r.b, r.ratio) for r in found} == {(i, j, x) for i, j, x in zip(p.tolist(), t.tolist(), ratio.tolist()) if x >= least[i]} and len(found) > 200
