@@ -173,3 +173,21 @@ def test_jvm_finds_the_best_of_all_pairs(spark, cutoff, share):
     p, t, ratio = similarity.reaching(left, right, cutoff)
     least = {i: sorted(ratio[p == i])[-3:][0] for i in set(p.tolist())}
     assert {(r.a, r.b, r.ratio) for r in found} == {(i, j, x) for i, j, x in zip(p.tolist(), t.tolist(), ratio.tolist()) if x >= least[i]} and len(found) > 200
+
+
+def test_jvm_compares_four_texts_at_once(spark):
+    from kedge.functions import kernel
+
+    assert "kedge.kernel.Vectors" in kernel._classes(spark.sparkContext._jvm) and kernel.register(spark)
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("абвгдежз ") for _ in range(n))
+    ends = [word(n) for n in (15, 16, 17, 70, 200)]
+    left = [word(rng.choice([1, 10, 40, 63, 64, 100])) + rng.choice(ends) for _ in range(150)] + [word(n) for n in (252, 253, 315, 316, 330)]
+    right = [word(rng.choice([0, 1, 16, 60, 120])) + e for e in ends for _ in range(120)] + ["".join(c for c in x if rng.random() > 0.15) for x in left] + [ends[3] + "ю", ends[3]]
+    right = list(dict.fromkeys(right))
+    block = spark.createDataFrame([(list(enumerate(left)), list(enumerate(right)))], "a array<struct<id:bigint,text:string>>, b array<struct<id:bigint,text:string>>")
+    for cutoff, k in ((20.0, 7), (70.0, 3)):
+        found = block.select(F.inline(F.call_function("kedge_best", "a", "b", F.lit(cutoff), F.lit(k), F.lit(0.0)))).collect()
+        p, t, ratio = similarity.reaching(left, right, cutoff)
+        least = {i: sorted(ratio[p == i])[-k:][0] for i in set(p.tolist())}
+        assert {(r.a, r.b, r.ratio) for r in found} == {(i, j, x) for i, j, x in zip(p.tolist(), t.tolist(), ratio.tolist()) if x >= least[i]} and len(found) > 200
