@@ -162,6 +162,33 @@ def test_fuzzy_without_jvm_functions(spark, monkeypatch):
     assert pairs() == want and len(want) == 27
 
 
+@pytest.mark.parametrize("cutoff, blocks", [(55.0, True), (55.0, False), (85.0, True)])
+def test_fuzzy_twice_is_two_calls(spark, cutoff, blocks, monkeypatch):
+    if blocks:
+        monkeypatch.setattr(linkage, "LEFT_BLOCK", 17)
+        monkeypatch.setattr(linkage, "RIGHT_BLOCK", 29)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("абвгдежзиклмн?.") for _ in range(rng.randrange(3, 10))) for _ in range(60)]
+    tails = ["", "?", "?", "?..", ".", " !", "абв", "?" * 40]
+
+    def side(n, name):
+        out = [(f"{name}-none", None, None), (f"{name}-empty", "", "?"), (f"{name}-all", "", "")]
+        for i in range(n):
+            t = " ".join(rng.choices(words, k=rng.choice([1, 3, 9, 9, 10, 30])))
+            f = t + rng.choice(tails) if rng.random() < 0.9 else t.replace("а", "a") + "?"
+            out += [(f"{name}{i}", None if rng.random() < 0.1 else t, None if rng.random() < 0.2 else f), (f"{name}{i}'", t, t + rng.choice(tails))]
+        return out
+
+    left, right = side(60, "l"), side(60, "r")
+    right += [(f"{i}'{n}", t and t.replace(rng.choice("абвг"), ""), f and f.replace(rng.choice("абвг"), "").rstrip("?") + rng.choice(tails)) for i, t, f in left for n in range(2)]
+    right = [(i, t, f) for i, t, f in right]
+    left, right = (spark.createDataFrame(x, "id string, t string, f string") for x in (left, right))
+    got = linkage.fuzzy_pairs_twice(left, right, id=("id", "id"), text=("t", "t"), other=("f", "f"), cutoff=cutoff, k=(5, 3))
+    for found, c, k in zip(got, "tf", (5, 3)):
+        want = rows(linkage.fuzzy_pairs(left, right, id=("id", "id"), text=(c, c), cutoff=cutoff, k=k), "l", "r", "ratio")
+        assert rows(found, "l", "r", "ratio") == want and len(want) > 150
+
+
 @pytest.mark.parametrize("cutoff", [55.0, 85.0])
 def test_fuzzy_sends_texts_to_few_blocks(cutoff):
     # some 120,000 and 540,000 texts of 220 characters, as at 1 GB
